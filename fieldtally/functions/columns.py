@@ -20,7 +20,7 @@ ALL_LEVELS = (COUNTRY, STATE, DISTRICT)
 
 def region_level(code: Column) -> Column:
     """0 for a country, 1 for a state, 2 for a district: the hyphens in its code."""
-    return F.regexp_count(code, F.lit("-"))
+    return F.length(code) - F.length(F.replace(code, F.lit("-"), F.lit("")))
 
 
 def code_at(code: Column, level: int) -> Column:

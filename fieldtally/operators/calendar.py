@@ -99,7 +99,7 @@ def record_span(dates: DataFrame) -> DataFrame:
 
 
 def region_days(regions: DataFrame, days: EventDays | DataFrame) -> DataFrame:
-    """Every `region` with every day: of an event, or of a `record_span`.
+    """Every row of `regions` with every day: of an event, or of a `record_span`.
 
     The days are an array on each region row, so nothing is joined.
     """
@@ -108,8 +108,8 @@ def region_days(regions: DataFrame, days: EventDays | DataFrame) -> DataFrame:
     else:
         every_day = F.sequence(days.select("first_day").scalar(),
                                days.select("last_day").scalar())
-    return (regions.select("region", every_day.alias("every_day"))
-            .select("region", F.explode_outer("every_day").alias("obs_date"))
+    return (regions.withColumn("every_day", every_day)
+            .select(*regions.columns, F.explode_outer("every_day").alias("obs_date"))
             .where(F.col("obs_date").isNotNull()))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Collection
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldtally.functions.columns import ALL_LEVELS, n_distinct, row_total
+from fieldtally.functions.columns import ALL_LEVELS, any_positive, n_distinct, row_total
 from fieldtally.operators.calendar import EventDays
 from fieldtally.operators.regions import with_region_name
 from fieldtally.operators.tally import (
@@ -18,6 +18,9 @@ from fieldtally.operators.tally import (
 METRICS = {"OBSERVERS": "observers", "CHECKLISTS": "checklists", "SPECIES": "species"}
 
 
+BITS = 63  # days held by one 64-bit number
+
+
 def day_columns(days: EventDays) -> list[str]:
     return [f"day{n}" for n in range(1, len(days) + 1)]
 
@@ -40,30 +43,50 @@ def species_list_by_day(sightings: DataFrame, regions: DataFrame, days: EventDay
         "obs_date", "region", F.col("sort").asc_nulls_last(), "english_name")
 
 
+def _day_bits(day_no: Column, days: EventDays) -> list[Column]:
+    """The days that occur in a group as bits of as few numbers as they need.
+
+    One aggregate stands for many day columns, however long the event is.
+    """
+    at = day_no - 1
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(at, F.lit(BITS)))
+    return [F.bit_or(F.when(F.floor(at / BITS) == word, bit).otherwise(F.lit(0).cast("bigint")))
+            .alias(f"bits{word}") for word in range(-(-len(days) // BITS))]
+
+
+def _flags(days: EventDays, inverted: bool = False) -> list[Column]:
+    """The day columns, 1 or 0, from the bits."""
+    flags = []
+    for n, name in enumerate(day_columns(days)):
+        word = F.coalesce(F.col(f"bits{n // BITS}"), F.lit(0))
+        flag = F.shiftright(word, n % BITS).bitwiseAND(F.lit(1)).cast("int")
+        flags.append((1 - flag if inverted else flag).alias(name))
+    return flags
+
+
 def species_matrix(sightings: DataFrame, regions: DataFrame, days: EventDays, dim: DataFrame,
                    taxonomy: DataFrame, levels: Collection[int] = ALL_LEVELS) -> DataFrame:
     """Region by species, 1 or 0 per day; species of the most days first, then taxonomic.
 
-    A day without any species is marked on a row without a name. The day flags
-    are plain conditional maxima, so one aggregation does the pivot.
+    A day without any species is marked on a row without a name.
     """
     columns = day_columns(days)
-    day = days.number_of(F.col("obs_date"))
-    flags = [F.max(F.when(day == n, 1).otherwise(0)).alias(c) for n, c in enumerate(columns, 1)]
-    highest = [F.max(c).alias(c) for c in columns]
+    bits = _day_bits(days.number_of(F.col("obs_date")), days)
+    words = [f"bits{n}" for n in range(len(bits))]
+    together = [F.bit_or(word).alias(word) for word in words]
 
     at_place = sightings.where(days.contains(F.col("obs_date")) & F.col("species").isNotNull()) \
-        .groupBy("place", "species").agg(*flags)
-    seen = at_regions(at_place, levels).groupBy("region", "species").agg(*highest).join(
-        regions.select("region"), "region", "left_semi")
+        .groupBy("place", "species").agg(*bits)
+    seen = at_regions(at_place, levels).groupBy("region", "species").agg(*together)
+    listed = seen.join(regions.select("region"), "region", "left_semi").select(
+        "region", "species", *_flags(days))
     nothing_seen = regions.select("region").join(
-        seen.groupBy("region").agg(*highest), "region", "left").select(
-        "region", F.lit(None).cast("string").alias("species"),
-        *[(1 - F.coalesce(F.col(c), F.lit(0))).alias(c) for c in columns],
-    ).where(F.greatest(F.lit(0), *columns) > 0)
+        seen.groupBy("region").agg(*together), "region", "left").select(
+        "region", F.lit(None).cast("string").alias("species"), *_flags(days, inverted=True),
+    ).where(any_positive([F.col(c) for c in columns]))
 
-    listed = seen.unionByName(nothing_seen).withColumnRenamed("species", "english_name")
-    named = with_region_name(with_taxonomy(listed, taxonomy), dim)
+    both = listed.unionByName(nothing_seen).withColumnRenamed("species", "english_name")
+    named = with_region_name(with_taxonomy(both, taxonomy), dim)
     return named.select("region", "region_name", "english_name", "sort", *columns).orderBy(
         "region", *[F.col(c).desc_nulls_last() for c in columns],
         F.col("sort").asc_nulls_last(), "english_name")
@@ -90,21 +113,25 @@ def participation_by_day(tally: DataFrame, sightings: DataFrame, regions: DataFr
 
 
 def participation_matrix(daily: DataFrame, days: EventDays, dim: DataFrame) -> DataFrame:
-    """One row per region and metric, one column per day, from daily counts."""
-    columns = day_columns(days)
-    day = days.number_of(F.col("obs_date"))
+    """One row per region and metric, one column per day, from daily counts.
 
-    def of_day(metric: str, n: int) -> Column:
-        return F.max(F.when(day == n, F.col(metric)))
-
-    rows = [F.struct(F.lit(label).alias("total"),
-                     *[of_day(metric, n).alias(c) for n, c in enumerate(columns, 1)])
-            for label, metric in METRICS.items()]
-    wide = daily.where(days.contains(F.col("obs_date"))).groupBy("region").agg(
-        F.array(*rows).alias("metrics"))
-    long = wide.select("region", F.inline("metrics"))
+    `daily` has one row per region and event day, so a region's days make a
+    short array from which every column is taken.
+    """
+    columns = day_columns(days)
+    keys = [c for c in ("region", "region_name") if c in daily.columns]
+    day = days.number_of(F.col("obs_date")).alias("day_no")
+    in_order = F.sort_array(F.collect_list(F.struct(day, *METRICS.values())))
+    by_day = daily.where(days.contains(F.col("obs_date"))).groupBy(*keys).agg(
+        in_order.alias("by_day"))
+    rows = F.array(*[F.struct(F.lit(label).alias("total"),
+                              F.col(f"by_day.{metric}").alias("counts"))
+                     for label, metric in METRICS.items()])
+    long = by_day.select(*keys, F.inline(rows))
     return with_region_name(long, dim).select(
-        "region", "region_name", "total", *columns).orderBy("region", metric_order())
+        "region", "region_name", "total",
+        *[F.col("counts")[n].alias(c) for n, c in enumerate(columns)],
+    ).orderBy("region", metric_order())
 
 
 def metric_order() -> Column:

@@ -16,11 +16,12 @@ LEVEL_COLUMNS = {COUNTRY: ("country_code", "country"), STATE: ("state_code", "st
 
 
 def region_dim(*levels: DataFrame) -> DataFrame:
-    """Stack the lists of countries, states and districts (`code`, `name`)."""
+    """Stack the lists of countries, states and districts (`code`, `name`), one row per code."""
     stacked = levels[0].select("code", "name")
     for more in levels[1:]:
         stacked = stacked.unionByName(more.select("code", "name"))
-    return stacked.distinct().withColumn("level", region_level(F.col("code")))
+    return stacked.groupBy("code").agg(F.min("name").alias("name")).withColumn(
+        "level", region_level(F.col("code")))
 
 
 def unstack_codes(region_codes: DataFrame, levels: Sequence[int] = ALL_LEVELS) -> DataFrame:
@@ -36,14 +37,17 @@ def unstack_codes(region_codes: DataFrame, levels: Sequence[int] = ALL_LEVELS) -
 
 
 def as_regions(dim: DataFrame, levels: Sequence[int] = ALL_LEVELS) -> DataFrame:
-    """The region column of a dimension, as the list of regions to report on."""
+    """A dimension (one row per code) as the named regions to report on."""
     wanted = dim if tuple(levels) == ALL_LEVELS else dim.where(F.col("level").isin(list(levels)))
-    return wanted.select(F.col("code").alias("region")).distinct()
+    return wanted.select(F.col("code").alias("region"), F.col("name").alias("region_name"))
 
 
 def with_region_name(frame: DataFrame, dim: DataFrame) -> DataFrame:
+    """Adds `region_name`, unless the regions came with their names."""
+    if "region_name" in frame.columns:
+        return frame
     names = dim.select(F.col("code").alias("region"), F.col("name").alias("region_name"))
-    return frame.join(names.distinct(), "region", "left")
+    return frame.join(names, "region", "left")
 
 
 def unknown_regions(requested: DataFrame, dim: DataFrame) -> DataFrame:

@@ -19,14 +19,14 @@ from fieldtally.operators.regions import with_region_name
 
 def headline_observers(daily: DataFrame, days: EventDays | DataFrame, dim: DataFrame) -> DataFrame:
     """Fewest and most observers on a day, the first day of most and how many days share it."""
-    numbered = daily.select("region", "observers",
-                            day_number(days, F.col("obs_date")).alias("day_no"))
+    keys = [c for c in ("region", "region_name") if c in daily.columns]
+    numbered = daily.select(*keys, "observers", day_number(days, F.col("obs_date")).alias("day_no"))
     # The smallest of (-observers, day) is the earliest day of the maximum, and
     # counting per value first tells how many days share it.
-    per_value = numbered.groupBy("region", "observers").agg(
+    per_value = numbered.groupBy(*keys, "observers").agg(
         F.min("day_no").alias("first_day"), F.count(F.lit(1)).alias("days"))
     peak = F.min(F.struct(-F.col("observers"), "first_day", "days"))
-    figures = per_value.groupBy("region").agg(
+    figures = per_value.groupBy(*keys).agg(
         F.min("observers").alias("min_observers"), F.max("observers").alias("max_observers"),
         peak.alias("peak"), F.sum("days").alias("no_days"))
     named = with_region_name(figures, dim).select(

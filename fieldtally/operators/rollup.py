@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from fieldtally.functions.columns import STATE, na_sum, percent, percent_change
 from fieldtally.operators.calendar import CURRENT, PREVIOUS, with_periods
 from fieldtally.operators.regions import with_region_name
-from fieldtally.operators.tally import at_regions, participation_by_region
+from fieldtally.operators.tally import activity_on, at_regions, participation_by_region
 
 COMPARED = ("checklists", "species", "regions")
 
@@ -32,11 +32,17 @@ def participation_states(tally: DataFrame, sightings: DataFrame, states: DataFra
         *by, F.col("observers").desc(), F.col("species").desc(), "region")
 
 
+def state_activity(tally: DataFrame, states: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Observers and checklists of each requested state, silent ones included."""
+    return activity_on(_each_period(states, by), tally, by, (STATE,))
+
+
 def region_coverage(states: DataFrame, region_codes: DataFrame,
                     by: Sequence[str] = ()) -> DataFrame:
     """Active states of each country against all requested ones, in percent.
 
-    `states` is participation per state. A country with no active state has no row.
+    `states` has the observers of every requested state, zeros included. A
+    country with no active state has no row.
     """
     country_of = region_codes.select(
         F.col("state_code").alias("region"), F.col("country").alias("region_name")).distinct()

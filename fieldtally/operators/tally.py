@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldtally.functions.columns import ALL_LEVELS, ancestors, code_at, n_distinct
@@ -75,13 +75,22 @@ def species_counts(sightings: DataFrame, by: Sequence[str] = BY_DAY,
         F.count("species").alias("species"))
 
 
+def activity_on(cells: DataFrame, tally: DataFrame, by: Sequence[str],
+                levels: Collection[int] = ALL_LEVELS) -> DataFrame:
+    """Observers and checklists of every cell (`region` and `by`), zeros included."""
+    return cells.join(participation_counts(tally, by, levels), ["region", *by], "left").select(
+        *cells.columns, *_zero_if_missing("observers", "checklists"))
+
+
+def _zero_if_missing(*columns: str) -> list[Column]:
+    return [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in columns]
+
+
 def _counts_on(cells: DataFrame, tally: DataFrame, sightings: DataFrame, by: Sequence[str],
                levels: Collection[int]) -> DataFrame:
-    keys = ["region", *by]
-    return (cells.join(participation_counts(tally, by, levels), keys, "left")
-            .join(species_counts(sightings, by, levels), keys, "left")
-            .select(*keys, *[F.coalesce(F.col(c), F.lit(0)).alias(c)
-                             for c in ("observers", "checklists", "species")]))
+    active = activity_on(cells, tally, by, levels)
+    return active.join(species_counts(sightings, by, levels), ["region", *by], "left").select(
+        *active.columns, *_zero_if_missing("species"))
 
 
 def participation_by_region_day(tally: DataFrame, sightings: DataFrame, regions: DataFrame,
@@ -107,15 +116,15 @@ def species_by_region_day(sightings: DataFrame, regions: DataFrame, days: EventD
     """Species of every region on every day; one NULL species where there is none."""
     event = days if isinstance(days, EventDays) else None
     seen = species_seen(days_of(sightings, event), BY_DAY, levels)
-    return region_days(regions, days).join(seen, ["region", "obs_date"], "left").select(
-        "region", "obs_date", "species")
+    cells = region_days(regions, days)
+    return cells.join(seen, ["region", "obs_date"], "left").select(*cells.columns, "species")
 
 
 def species_by_region(sightings: DataFrame, regions: DataFrame, by: Sequence[str] = (),
                       levels: Collection[int] = ALL_LEVELS) -> DataFrame:
     """Species of every region over the whole event; one NULL species where there is none."""
     return regions.join(species_seen(sightings, by, levels), ["region", *by], "left").select(
-        "region", *by, "species")
+        *regions.columns, "species")
 
 
 def species_per_region(species_list: DataFrame, null_as_value: bool = False) -> DataFrame:
@@ -146,4 +155,4 @@ def media_summary(media_counts: DataFrame, regions: DataFrame,
     totals = at_regions(media_counts, levels).groupBy("region").agg(
         *[F.sum(kind).alias(kind) for kind in MEDIA_TYPES])
     return regions.join(totals, "region", "left").select(
-        "region", *[F.coalesce(F.col(kind), F.lit(0)).alias(kind) for kind in MEDIA_TYPES])
+        "region", *_zero_if_missing(*MEDIA_TYPES))

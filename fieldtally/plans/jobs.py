@@ -6,11 +6,9 @@ per observer, species per place) and derives every result from those.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +16,7 @@ from fieldtally.functions.columns import STATE
 from fieldtally.operators import event, regions, report, rollup, tally, taxa
 from fieldtally.operators.calendar import CURRENT, EventDays
 from fieldtally.operators.literal import region_frame
+from fieldtally.sinks.files import written
 from fieldtally.sources.facts import Survey
 
 
@@ -27,111 +26,99 @@ class ReducedFacts:
     seen: DataFrame
 
 
-@contextmanager
-def reduced_facts(survey: Survey, days: EventDays, by: Sequence[str],
-                  two_years: bool = False) -> Iterator[ReducedFacts]:
-    """The facts of an event, reduced and kept for the length of a `with` block.
-
-    They are kept with their lineage, so a lost executor costs a recomputation
-    of its part only. Results must be written or counted inside the block.
-    """
-    visits = survey.visits(by, days, two_years).persist(StorageLevel.MEMORY_AND_DISK)
-    seen = (survey.sightings(days, two_years).where(F.col("species").isNotNull())
-            .select("place", *by, "species").distinct().persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        yield ReducedFacts(visits, seen)
-    finally:
-        visits.unpersist()
-        seen.unpersist()
+def reduce_facts(survey: Survey, days: EventDays | None, by: Sequence[str],
+                 two_years: bool = False) -> ReducedFacts:
+    """The facts of an event (or of all time), read once and written down reduced."""
+    seen = survey.sightings(days, two_years).where(F.col("species").isNotNull()).select(
+        "place", *by, "species").distinct()
+    return ReducedFacts(written(survey.visits(by, days, two_years), "visits"),
+                        written(seen, "seen"))
 
 
-@contextmanager
 def live_summary(survey: Survey, days: EventDays, patterns: Sequence[str],
-                 districts: bool = False) -> Iterator[dict[str, DataFrame]]:
+                 districts: bool = False) -> dict[str, DataFrame]:
     """Summary of picked regions: participation, countries, species and notable species."""
     dim, taxonomy = survey.region_dim(), survey.taxonomy()
     picked = regions.select_regions(survey.region_codes(), patterns, districts)
     places = picked.select(F.col("code").alias("region"))
     states = picked.where(F.col("level") == STATE).select(F.col("code").alias("region"))
     group = survey.country_group()
-    with reduced_facts(survey, days, ()) as facts:
-        listed = tally.species_by_region(facts.seen, places)
-        notable = tally.notable_sightings(survey.sightings(days)).join(
-            places, "region", "left_semi")
-        yield {
-            "States": rollup.participation_states(facts.visits, facts.seen, states, dim),
-            "Countries": rollup.participation_countries(facts.visits, facts.seen, group),
-            "Species per region": tally.species_per_region(listed),
-            "Species list": taxa.combined_species(
-                listed.withColumnRenamed("species", "english_name"), taxonomy),
-            "Notable species": taxa.notable_rarity(notable),
-        }
-
-
-@contextmanager
-def final_summary(survey: Survey, days: EventDays) -> Iterator[dict[str, DataFrame]]:
+    facts = reduce_facts(survey, days, ())
+    listed = tally.species_by_region(facts.seen, places)
+    notable = tally.notable_sightings(survey.sightings(days)).join(
+        places, "region", "left_semi")
+    return {
+        "States": rollup.participation_states(facts.visits, facts.seen, states, dim),
+        "Countries": rollup.participation_countries(facts.visits, facts.seen, group),
+        "Species per region": tally.species_per_region(listed),
+        "Species list": taxa.combined_species(
+            listed.withColumnRenamed("species", "english_name"), taxonomy),
+        "Notable species": taxa.notable_rarity(notable),
+    }
+
+
+def final_summary(survey: Survey, days: EventDays) -> dict[str, DataFrame]:
     """All states and countries with region coverage and the change on the year before.
 
     Facts of both years are tagged and aggregated in one pass.
     """
     by = ("period",)
     dim, group, codes = survey.region_dim(), survey.country_group(), survey.region_codes()
-    with reduced_facts(survey, days, by, two_years=True) as facts:
-        every_state = regions.as_regions(dim, (STATE,))
-        states = rollup.participation_states(facts.visits, facts.seen, every_state, dim, by)
-        coverage = rollup.region_coverage(states, codes, by)
-        countries = rollup.participation_countries(
-            facts.visits, facts.seen, group, coverage, by)
-        listed = facts.seen.withColumnRenamed("species", "english_name")
-        overall = rollup.overall_totals(countries, listed, by)
-
-        def current(frame: DataFrame) -> DataFrame:
-            return frame.where(F.col("period") == CURRENT).drop("period")
-
-        yield {
-            "States": current(states),
-            "Countries": current(countries),
-            "Countries YoY": rollup.year_over_year(countries, ["region_name"]),
-            "Overall": current(overall),
-            "Overall YoY": rollup.year_over_year(overall),
-            "Species list": taxa.combined_species(current(listed), survey.taxonomy()),
-        }
-
-
-@contextmanager
+    facts = reduce_facts(survey, days, by, two_years=True)
+    every_state = regions.as_regions(dim, (STATE,))
+    states = rollup.participation_states(facts.visits, facts.seen, every_state, dim, by)
+    coverage = rollup.region_coverage(states, codes, by)
+    countries = rollup.participation_countries(
+        facts.visits, facts.seen, group, coverage, by)
+    listed = facts.seen.withColumnRenamed("species", "english_name")
+    overall = rollup.overall_totals(countries, listed, by)
+
+    def current(frame: DataFrame) -> DataFrame:
+        return frame.where(F.col("period") == CURRENT).drop("period")
+
+    return {
+        "States": current(states),
+        "Countries": current(countries),
+        "Countries YoY": rollup.year_over_year(countries, ["region_name"]),
+        "Overall": current(overall),
+        "Overall YoY": rollup.year_over_year(overall),
+        "Species list": taxa.combined_species(current(listed), survey.taxonomy()),
+    }
+
+
 def event_report(survey: Survey, days: EventDays, requested: Sequence[str], event_type: str,
-                 base_url: str) -> Iterator[dict[str, DataFrame]]:
+                 base_url: str) -> dict[str, DataFrame]:
     """Report on each requested region: lists, participation by sub-region and headlines."""
     dim, taxonomy = survey.region_dim(), survey.taxonomy()
     asked = region_frame(survey.spark, requested)
     expanded = regions.expand_regions(asked, dim).select(F.col("code").alias("region")).distinct()
-    with reduced_facts(survey, days, tally.BY_DAY) as facts:
-        listed = event.species_list(facts.seen, expanded, days, dim, taxonomy)
-        summary = event.participation_summary(
-            facts.visits, facts.seen, expanded, days, dim, listed)
-        daily = tally.participation_by_region_day(facts.visits, facts.seen, expanded, days)
-        whole = tally.participation_by_region(
-            facts.visits.groupBy("place", "observer_id").agg(
-                F.sum("checklists").alias("checklists")), facts.seen, expanded)
-        notable = taxa.map_priority(
-            listed.where(F.col("english_name").isNotNull()), survey.name_change(),
-            survey.priority())
-        spans = asked.select("region", F.lit(days.first).alias("first_day"),
-                             F.lit(days.last).alias("last_day"))
-        sheets = {
-            "Species list": listed,
-            "Participation": summary,
-            "Observers": report.headline_observers(daily, days, dim),
-            "Totals": report.headline_totals(whole, dim),
-            "Sub-regions": report.headline_subregions(whole).join(asked, "region", "left_semi"),
-            "Notable": report.headline_notable(taxa.top_priority_by_region(notable), asked),
-            "Media": report.headline_media(tally.media_summary(survey.media_counts(days), asked)),
-            "Links": report.media_links(spans, base_url),
-            "Publication": report.publication_notes(spans, [event_type]),
-        }
-        if not days.is_single:
-            sheets["Checklists by sub-region"] = report.report_checklists(summary)
-            sheets["Species by sub-region"] = report.report_species(summary)
-        yield sheets
+    facts = reduce_facts(survey, days, tally.BY_DAY)
+    listed = event.species_list(facts.seen, expanded, days, dim, taxonomy)
+    summary = event.participation_summary(
+        facts.visits, facts.seen, expanded, days, dim, listed)
+    daily = tally.participation_by_region_day(facts.visits, facts.seen, expanded, days)
+    whole = tally.participation_by_region(
+        facts.visits.groupBy("place", "observer_id").agg(
+            F.sum("checklists").alias("checklists")), facts.seen, expanded)
+    notable = taxa.map_priority(
+        listed.where(F.col("english_name").isNotNull()), survey.name_change(),
+        survey.priority())
+    spans = asked.select("region", F.lit(days.first).alias("first_day"),
+                         F.lit(days.last).alias("last_day"))
+    sheets = {
+        "Species list": listed,
+        "Participation": summary,
+        "Observers": report.headline_observers(daily, days, dim),
+        "Totals": report.headline_totals(whole, dim),
+        "Sub-regions": report.headline_subregions(whole).join(asked, "region", "left_semi"),
+        "Notable": report.headline_notable(taxa.top_priority_by_region(notable), asked),
+        "Media": report.headline_media(tally.media_summary(survey.media_counts(days), asked)),
+        "Links": report.media_links(spans, base_url),
+        "Publication": report.publication_notes(spans, [event_type]),
+    }
+    if not days.is_single:
+        sheets["Checklists by sub-region"] = report.report_checklists(summary)
+        sheets["Species by sub-region"] = report.report_species(summary)
+    return sheets
 
 

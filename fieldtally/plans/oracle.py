@@ -252,9 +252,10 @@ WHERE level < 2 AND (code LIKE '%R1-N1%' OR code LIKE '%N2-H%')""",
 SELECT DISTINCT region, CASE WHEN level < 2 THEN name END AS region_name
 FROM chk3 JOIN dim ON code = region""",
     "participation_by_region_day": TABLES + _daily_counts("record_days") + """
-SELECT region, CAST(obs_date AS VARCHAR) AS obs_date, observers, checklists, species FROM daily""",
+SELECT region, region_name, CAST(obs_date AS VARCHAR) AS obs_date, observers, checklists, species
+FROM daily""",
     "species_by_region_day": TABLES + """
-SELECT code AS region, CAST(d.obs_date AS VARCHAR) AS obs_date, species
+SELECT code AS region, name AS region_name, CAST(d.obs_date AS VARCHAR) AS obs_date, species
 FROM dim CROSS JOIN record_days d
 LEFT JOIN (SELECT DISTINCT region, obs_date, species FROM sight3) s
   ON s.region = code AND s.obs_date = d.obs_date""",
@@ -305,7 +306,8 @@ FROM sight WHERE notable GROUP BY species""",
 SELECT region_name, count(DISTINCT species) AS species
 FROM grp LEFT JOIN sight3 USING (region)
 WHERE region_name IN (SELECT region_name FROM grp GROUP BY 1 HAVING count(*) > 1) GROUP BY 1""",
-    "region_coverage": TABLES + _states(_EVENT) + "SELECT * FROM covered",
+    "region_coverage": TABLES + _states() + "SELECT * FROM covered",
+    "region_coverage_event": TABLES + _states(_EVENT) + "SELECT * FROM covered",
     "overall_totals": TABLES + _states() + _overall("countries"),
     "yoy_countries": _change_by_country(_YEAR, _YEAR_BEFORE),
     "yoy_countries_event": _change_by_country(_EVENT, _EVENT_BEFORE),

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from fieldtally.functions.columns import COUNTRY, STATE, decimal_comma, slashed_date
 from fieldtally.operators import calendar, event, regions, report, rollup, tally, taxa
 from fieldtally.operators.calendar import EventDays
+from fieldtally.plans.jobs import ReducedFacts, reduce_facts
 from fieldtally.session import shared_folder
 from fieldtally.sinks import files as sink
 from fieldtally.sources import files as source
@@ -158,9 +159,10 @@ def part_summ_multi(s: StarSurvey) -> DataFrame:
 
 
 def _summary(s: StarSurvey, days: EventDays) -> DataFrame:
-    listed = _named(tally.species_by_region(s.sightings(days), _regions(s)))
+    seen = reduce_facts(s, days, tally.BY_DAY).seen
+    listed = _named(tally.species_by_region(seen, _regions(s)))
     return event.participation_summary(
-        s.visits(days=days), s.sightings(days), _regions(s), days, s.region_dim(), listed)
+        s.visits(days=days), seen, _regions(s), days, s.region_dim(), listed)
 
 
 @_query
@@ -238,10 +240,14 @@ def _states(s: StarSurvey) -> DataFrame:
         s.visits(()), s.sightings(), _regions(s, STATE), s.region_dim())
 
 
-def _countries(s: StarSurvey) -> DataFrame:
-    coverage = rollup.region_coverage(_states(s), s.region_codes())
+def _coverage(s: StarSurvey, visits: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    active = rollup.state_activity(visits, _regions(s, STATE), by)
+    return rollup.region_coverage(active, s.region_codes(), by)
+
+
+def _countries(s: StarSurvey, facts: ReducedFacts, by: tuple[str, ...] = ()) -> DataFrame:
     return rollup.participation_countries(
-        s.visits(()), s.sightings(), s.country_group(), coverage)
+        facts.visits, facts.seen, s.country_group(), _coverage(s, facts.visits, by), by)
 
 
 @_query
@@ -251,7 +257,7 @@ def participation_states(s: StarSurvey) -> DataFrame:
 
 @_query
 def participation_countries(s: StarSurvey) -> DataFrame:
-    return _countries(s)
+    return _countries(s, reduce_facts(s, None, ()))
 
 
 @_query
@@ -261,50 +267,46 @@ def country_species(s: StarSurvey) -> DataFrame:
 
 @_query
 def region_coverage(s: StarSurvey) -> DataFrame:
-    states = rollup.participation_states(
-        s.visits((), EVENT), s.sightings(EVENT), _regions(s, STATE), s.region_dim())
-    return rollup.region_coverage(states, s.region_codes())
+    return _coverage(s, s.visits(()))
 
 
 @_query
-def overall_totals(s: StarSurvey) -> DataFrame:
-    return rollup.overall_totals(_countries(s), _named(s.sightings()))
+def region_coverage_event(s: StarSurvey) -> DataFrame:
+    return _coverage(s, s.visits((), EVENT))
 
 
-def _two_years(s: StarSurvey, days: EventDays) -> DataFrame:
-    visits, sightings = s.visits(PERIOD, days, True), s.sightings(days, True)
-    states = rollup.participation_states(
-        visits, sightings, _regions(s, STATE), s.region_dim(), PERIOD)
-    coverage = rollup.region_coverage(states, s.region_codes(), PERIOD)
-    return rollup.participation_countries(visits, sightings, s.country_group(), coverage, PERIOD)
+@_query
+def overall_totals(s: StarSurvey) -> DataFrame:
+    facts = reduce_facts(s, None, ())
+    return rollup.overall_totals(_countries(s, facts), _named(facts.seen))
 
 
 @_query
 def yoy_countries(s: StarSurvey) -> DataFrame:
-    return rollup.year_over_year(_two_years(s, YEAR), ["region_name"])
+    facts = reduce_facts(s, YEAR, PERIOD, two_years=True)
+    return rollup.year_over_year(_countries(s, facts, PERIOD), ["region_name"])
 
 
 @_query
 def yoy_countries_event(s: StarSurvey) -> DataFrame:
-    return rollup.year_over_year(_two_years(s, EVENT), ["region_name"])
+    facts = reduce_facts(s, EVENT, PERIOD, two_years=True)
+    return rollup.year_over_year(_countries(s, facts, PERIOD), ["region_name"])
 
 
 @_query
 def yoy_overall(s: StarSurvey) -> DataFrame:
-    overall = rollup.overall_totals(
-        _two_years(s, YEAR), _named(s.sightings(YEAR, True)), PERIOD)
-    return rollup.year_over_year(overall)
+    facts = reduce_facts(s, YEAR, PERIOD, two_years=True)
+    return rollup.year_over_year(
+        rollup.overall_totals(_countries(s, facts, PERIOD), _named(facts.seen), PERIOD))
 
 
 # Report -----------------------------------------------------------------------
 
 @_query
 def headline_observers(s: StarSurvey) -> DataFrame:
-    daily = tally.participation_counts(s.visits())
     span = calendar.record_span(s.dates())
-    cells = calendar.region_days(_regions(s), span).join(
-        daily, ["region", "obs_date"], "left").fillna(0, ["observers"])
-    return report.headline_observers(cells, span, s.region_dim())
+    daily = tally.activity_on(calendar.region_days(_regions(s), span), s.visits(), tally.BY_DAY)
+    return report.headline_observers(daily, span, s.region_dim())
 
 
 @_query
@@ -434,7 +436,7 @@ def decimal_comma_file(s: StarSurvey) -> DataFrame:
 @_query
 def semicolon_file(s: StarSurvey) -> DataFrame:
     path = shared_folder(s.spark, "semicolon")
-    sink.write_semicolon_csv(rollup.region_coverage(_states(s), s.region_codes()), path)
+    sink.write_semicolon_csv(_coverage(s, s.visits(())), path)
     back = s.spark.read.csv(path, sep=";", header=True)
     return back.select("region_name", *[F.col(c).cast("bigint").alias(c)
                                         for c in ("regions", "tot_regions")],
@@ -443,8 +445,11 @@ def semicolon_file(s: StarSurvey) -> DataFrame:
 
 @_query
 def workbook_files(s: StarSurvey) -> DataFrame:
-    sheets = sink.write_workbook(
-        {"States": _states(s), "Countries": _countries(s)}, shared_folder(s.spark, "workbook"))
+    facts = reduce_facts(s, None, ())
+    states = rollup.participation_states(
+        facts.visits, facts.seen, _regions(s, STATE), s.region_dim())
+    sheets = sink.write_workbook({"States": states, "Countries": _countries(s, facts)},
+                                 shared_folder(s.spark, "workbook"))
     read = {name: s.spark.read.csv(path, header=True) for name, path in sheets.items()}
     return read["States"].select(F.lit("States").alias("sheet"), "region_name", *[
         F.col(c).cast("bigint").alias(c) for c in ("checklists", "species")]).unionByName(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldtally.functions.columns import with_decimal_comma
+from fieldtally.session import shared_folder
 
 
 def write_csv(frame: DataFrame, path: str) -> None:
@@ -42,6 +43,16 @@ def write_workbook(sheets: Mapping[str, DataFrame], path: str) -> dict[str, str]
     return places
 
 
+def written(frame: DataFrame, label: str) -> DataFrame:
+    """The frame as a table in the cluster's shared folder, for results with several uses.
+
+    It is computed once, outlives the executors that made it, and its size is known.
+    """
+    spark, path = frame.sparkSession, shared_folder(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 def write_facts(facts: DataFrame, path: str) -> None:
     """Facts partitioned by day, so that an event reads its own days only.
 

@@ -8,13 +8,14 @@ wherever the result allows it.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldtally.operators.calendar import EventDays, days_of, tag_period
-from fieldtally.operators.regions import region_dim, unstack_codes
+from fieldtally.operators.regions import unstack_codes
 from fieldtally.operators.tally import BY_DAY, MEDIA_TYPES
 
 NOTABLE_SIZE = 5
@@ -25,6 +26,28 @@ ENDEMIC_LOOKS = ("red", "blue")
 RENAMED_LOOK, FORMER_LOOK = "new", "former"
 COUNTRY_AS_ONE_REGION = "R4"
 
+# Columns in use, so that opening a table costs no look into its files.
+TABLES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_nationkey INT, c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_size INT",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT",
+    "events": "ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, props STRING",
+}
+
+
+def _once(build):
+    """Builds a plan once per survey object, not once per use."""
+    @wraps(build)
+    def plan(self, *args):
+        key = (build.__name__, *args)
+        if key not in self._plans:
+            self._plans[key] = build(self, *args)
+        return self._plans[key]
+    return plan
+
 
 @dataclass(frozen=True)
 class StarSurvey:
@@ -32,17 +55,21 @@ class StarSurvey:
 
     spark: SparkSession
     folder: str
+    _plans: dict = field(default_factory=dict, compare=False, repr=False)
 
+    @_once
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     # Facts ------------------------------------------------------------------
 
+    @_once
     def _orders(self) -> DataFrame:
         return self.table("orders").select(
             F.col("o_orderkey").alias("checklist_id"), F.col("o_custkey").alias("observer_id"),
             F.to_date("o_orderdate").alias("obs_date"))
 
+    @_once
     def _homes(self) -> DataFrame:
         """Place of each observer."""
         country = F.concat(F.lit("R"), "n_regionkey")
@@ -98,6 +125,7 @@ class StarSurvey:
 
     # Dimensions -------------------------------------------------------------
 
+    @_once
     def region_codes(self) -> DataFrame:
         """One row per district, with the state and the country that hold it."""
         segments = self.table("customer").select("c_nationkey", "c_mktsegment").distinct()
@@ -109,12 +137,13 @@ class StarSurvey:
                 .select(country.alias("country_code"), F.col("r_name").alias("country"),
                         state.alias("state_code"), F.col("n_name").alias("state"),
                         F.concat(state, F.lit("-"), F.substring("c_mktsegment", 1, 1))
-                        .alias("county_code"), F.col("c_mktsegment").alias("county"))
-                .distinct())
+                        .alias("county_code"), F.col("c_mktsegment").alias("county")))
 
+    @_once
     def region_dim(self) -> DataFrame:
-        return region_dim(unstack_codes(self.region_codes()))
+        return unstack_codes(self.region_codes())
 
+    @_once
     def country_group(self) -> DataFrame:
         """Member regions of each country: its states, or for one country the whole of it."""
         whole = F.col("country_code") == COUNTRY_AS_ONE_REGION
@@ -122,21 +151,25 @@ class StarSurvey:
             F.when(whole, F.col("country_code")).otherwise(F.col("state_code")).alias("region"),
             F.col("country").alias("region_name")).distinct()
 
+    @_once
     def taxonomy(self) -> DataFrame:
         return self.table("part").groupBy(F.col("p_name").alias("english_name")).agg(
             F.min("p_partkey").cast("double").alias("sort"))
 
+    @_once
     def _look_and_kind(self) -> DataFrame:
         words = F.split("english_name", " ")
         return self.taxonomy().select("english_name", words[0].alias("look"),
                                       words[1].alias("kind"))
 
+    @_once
     def name_change(self) -> DataFrame:
         """Species that look new were called former ones before."""
         return self._look_and_kind().where(F.col("look") == RENAMED_LOOK).select(
             F.concat_ws(" ", F.lit(FORMER_LOOK), "kind").alias("old_name"),
             F.col("english_name").alias("new_name"))
 
+    @_once
     def priority(self) -> DataFrame:
         """Conservation class by kind, under the name used before any change."""
         classes = F.lit(None).cast("string")
