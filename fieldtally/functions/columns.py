@@ -25,12 +25,17 @@ def region_level(code: Column) -> Column:
 
 def code_at(code: Column, level: int) -> Column:
     """The region of `level` that holds `code`; NULL when `code` is coarser than that."""
+    if level == COUNTRY:
+        return F.substring_index(code, "-", 1)
     return F.when(region_level(code) >= level, F.substring_index(code, "-", level + 1))
 
 
 def ancestors(code: Column, levels: Collection[int] = ALL_LEVELS) -> Column:
-    """`code` and the regions that hold it, as an array, limited to `levels`."""
-    return F.array_compact(F.array(*[code_at(code, level) for level in sorted(levels)]))
+    """`code` and the regions that hold it, as an array with one place per level.
+
+    The place of a level below `code` is NULL.
+    """
+    return F.array(*[code_at(code, level) for level in sorted(levels)])
 
 
 def parent_code(code: Column) -> Column:

@@ -112,14 +112,21 @@ class StarSurvey:
             (F.col("p_size") <= NOTABLE_SIZE).alias("is_notable"))
         return checklists.join(entries, "checklist_id").join(names, "p_partkey").drop("p_partkey")
 
+    def _uploads(self, days: EventDays | None = None) -> DataFrame:
+        media_type = F.lit(None).cast("string")
+        for event, kind in MEDIA_EVENTS.items():
+            media_type = F.when(F.col("event_type") == event, kind).otherwise(media_type)
+        return days_of(self.table("events").where(F.col("event_type").isin(*MEDIA_EVENTS)).select(
+            F.col("user_id").alias("observer_id"), F.to_date("ts").alias("obs_date"),
+            media_type.alias("media_type")), days)
+
+    def media(self, days: EventDays | None = None) -> DataFrame:
+        return self._uploads(days).join(self._homes(), "observer_id").drop("observer_id")
+
     def media_counts(self, days: EventDays | None = None) -> DataFrame:
         """Photos, sounds and videos per place, counted per user before the place lookup."""
-        uploads = days_of(self.table("events").select(
-            F.col("user_id").alias("observer_id"), F.to_date("ts").alias("obs_date"),
-            "event_type"), days).where(F.col("event_type").isin(*MEDIA_EVENTS))
-        per_user = uploads.groupBy("observer_id").agg(*[
-            F.count_if(F.col("event_type") == event).alias(kind)
-            for event, kind in MEDIA_EVENTS.items()])
+        per_user = self._uploads(days).groupBy("observer_id").agg(*[
+            F.count_if(F.col("media_type") == kind).alias(kind) for kind in MEDIA_TYPES])
         return per_user.join(self._homes(), "observer_id").groupBy("place").agg(
             *[F.sum(kind).alias(kind) for kind in MEDIA_TYPES])
 
