@@ -126,10 +126,10 @@ def tag_period(facts: DataFrame, days: EventDays) -> DataFrame:
     """
     before = days.previous()
     day = F.col("obs_date")
-    periods = F.array_compact(F.array(
-        F.when(days.contains(day), CURRENT), F.when(before.contains(day), PREVIOUS)))
+    periods = F.array(
+        F.when(days.contains(day), CURRENT), F.when(before.contains(day), PREVIOUS))
     return (facts.where(days.contains(day) | before.contains(day))
-            .withColumn("period", F.explode(periods)))
+            .withColumn("period", F.explode(periods)).where(F.col("period").isNotNull()))
 
 
 def with_periods(frame: DataFrame) -> DataFrame:

@@ -289,10 +289,10 @@ ORDER BY endemic DESC, sort, s.english_name LIMIT 10""",
     "species_per_region": TABLES + """
 SELECT code AS region, count(DISTINCT species) AS no_sp
 FROM dim LEFT JOIN sight3 ON region = code GROUP BY code""",
-    "species_per_region_event": TABLES + f"""
-SELECT code AS region, count(DISTINCT species)
-       + CASE WHEN count(DISTINCT obs_date) < {len(_EVENT_DAYS)} THEN 1 ELSE 0 END AS no_sp
-FROM dim LEFT JOIN (SELECT * FROM sight3 WHERE {_EVENT}) s ON region = code GROUP BY code""",
+    "species_per_region_na": TABLES + """
+SELECT code AS region, count(DISTINCT species) + CASE WHEN count(DISTINCT obs_date) <
+       (SELECT count(*) FROM record_days) THEN 1 ELSE 0 END AS no_sp
+FROM dim LEFT JOIN sight3 ON region = code GROUP BY code""",
     "combined_species": TABLES + _COMBINED,
     "notable_rarity": TABLES + """
 SELECT species AS common_name, count(DISTINCT checklist_id) AS no_lists,
@@ -330,9 +330,11 @@ SELECT *, CASE WHEN no_days = 1
             || region_name || ' came together for the ' || no_days || ' days ('
             || format('{:,}', max_observers) || ' birdwatchers on Day ' || max_day || '!),' END
        AS statement FROM peaks""",
-    "headline_observers_ties": TABLES + _daily_counts(_day_table(_EVENT_DAYS)) + """
-SELECT region, date_diff('day', DATE '1996-09-16', obs_date) + 1 AS day_no, observers
-FROM daily d WHERE observers = (SELECT max(observers) FROM daily m WHERE m.region = d.region)""",
+    "headline_observers_ties": TABLES + _daily_counts("record_days") + """
+SELECT d.region, date_diff('day', (SELECT min(obs_date) FROM chk), d.obs_date) + 1 AS day_no,
+       d.observers
+FROM daily d JOIN (SELECT region, max(observers) AS observers FROM daily GROUP BY 1) m
+  ON m.region = d.region AND m.observers = d.observers""",
     "headline_totals": TABLES + _WHOLE + """
 SELECT region, region_name, species, checklists,
        '**' || format('{:,}', species) || ' species**' AS species_statement,

@@ -206,10 +206,11 @@ def species_per_region(s: StarSurvey) -> DataFrame:
 
 
 @_query
-def species_per_region_event(s: StarSurvey) -> DataFrame:
-    """Counts a missing species as one, for every region and day of the event."""
-    return tally.species_per_region(
-        tally.species_by_region_day(s.sightings(EVENT), _regions(s), EVENT), null_as_value=True)
+def species_per_region_na(s: StarSurvey) -> DataFrame:
+    """The same with the missing species of a silent day counted as one."""
+    listed = tally.species_by_region_day(
+        s.sightings(), _regions(s), calendar.record_span(s.dates()))
+    return tally.species_per_region(listed, null_as_value=True)
 
 
 @_query
@@ -302,16 +303,20 @@ def yoy_overall(s: StarSurvey) -> DataFrame:
 
 # Report -----------------------------------------------------------------------
 
+def _active_days(s: StarSurvey, span: DataFrame) -> DataFrame:
+    return tally.activity_on(calendar.region_days(_regions(s), span), s.visits(), tally.BY_DAY)
+
+
 @_query
 def headline_observers(s: StarSurvey) -> DataFrame:
     span = calendar.record_span(s.dates())
-    daily = tally.activity_on(calendar.region_days(_regions(s), span), s.visits(), tally.BY_DAY)
-    return report.headline_observers(daily, span, s.region_dim())
+    return report.headline_observers(_active_days(s, span), span, s.region_dim())
 
 
 @_query
 def headline_observers_ties(s: StarSurvey) -> DataFrame:
-    return report.days_of_most_observers(_daily(s, EVENT), EVENT)
+    span = calendar.record_span(s.dates())
+    return report.days_of_most_observers(_active_days(s, span), span)
 
 
 def _whole(s: StarSurvey) -> DataFrame:

@@ -20,6 +20,25 @@ SETTINGS = {
 }
 
 
+SHUFFLE_TARGET = 128 * 1024 * 1024
+DEFAULT_PARTITIONS = 200
+
+
+def settings_for(input_bytes: int) -> dict[str, str]:
+    """Shuffle settings for facts of this size.
+
+    Adaptive execution merges small partitions but never adds any to an even
+    shuffle, so the number it starts from has to suit the largest one: about
+    one partition for each 128 MB read.
+    """
+    partitions = max(DEFAULT_PARTITIONS, -(-input_bytes // SHUFFLE_TARGET))
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_TARGET),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
+
 def build_session(master: str | None = None, app_name: str = "fieldtally",
                   **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
