@@ -18,7 +18,7 @@ def literal_frame(spark: SparkSession, rows: Iterable[Sequence], schema: T.Struc
     ]
     if not structs:
         return spark.createDataFrame([], schema)
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
 
 
 def region_frame(spark: SparkSession, codes: Iterable[str]) -> DataFrame:

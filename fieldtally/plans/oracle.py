@@ -241,6 +241,14 @@ FROM (SELECT DISTINCT obs_date FROM chk)""",
 SELECT u.code AS requested, d.code, d.name, CAST(d.level AS BIGINT) AS level
 FROM dim u JOIN dim d ON d.code = u.code OR starts_with(d.code, u.code || '-')
 WHERE NOT (u.level = 0 AND d.level = 2)""",
+    "region_expand_free_match": TABLES + """
+SELECT u.pattern AS requested, code, name, CAST(level AS BIGINT) AS level
+FROM (SELECT * FROM (VALUES ('R1-N1'), ('N2-H')) v(pattern)) u
+JOIN dim ON contains(code, u.pattern)""",
+    "region_rejects": TABLES + """
+SELECT DISTINCT state_code || '-' || substr(s_name, 1, 1) AS region
+FROM supplier JOIN state_of ON s_nationkey = n_nationkey
+WHERE state_code || '-' || substr(s_name, 1, 1) NOT IN (SELECT code FROM dim)""",
     "region_names": TABLES + "SELECT code AS region, name AS region_name FROM dim WHERE level < 2",
     "region_select": TABLES + """
 SELECT code, name, CAST(level AS BIGINT) AS level FROM dim

@@ -80,6 +80,22 @@ def region_expand(s: StarSurvey) -> DataFrame:
     return regions.expand_regions(_regions(s), s.region_dim())
 
 
+@_query
+def region_expand_free_match(s: StarSurvey) -> DataFrame:
+    return regions.expand_matching(FREE_PATTERNS, s.region_dim())
+
+
+@_query
+def region_rejects(s: StarSurvey) -> DataFrame:
+    """Suppliers' states and a district of their own in each, which no list knows."""
+    places = s.table("supplier").join(
+        s.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    state = F.concat(F.lit("R"), "n_regionkey", F.lit("-N"), "n_nationkey")
+    asked = places.select(F.explode(F.array(
+        state, F.concat(state, F.lit("-"), F.substring("s_name", 1, 1)))).alias("region"))
+    return regions.unknown_regions(asked, s.region_dim())
+
+
 @_query
 def region_names(s: StarSurvey) -> DataFrame:
     return regions.region_names(_regions(s, COUNTRY), s.region_dim())
@@ -443,7 +459,7 @@ def semicolon_file(s: StarSurvey) -> DataFrame:
     path = shared_folder(s.spark, "semicolon")
     sink.write_semicolon_csv(_coverage(s, s.visits(())), path)
     back = s.spark.read.csv(path, sep=";", header=True)
-    return back.select("region_name", *[F.col(c).cast("bigint").alias(c)
+    return back.select("region_name", *[F.col(c).try_cast("bigint").alias(c)
                                         for c in ("regions", "tot_regions")],
                        decimal_comma(F.col("region_cov")).alias("region_cov"))
 
@@ -457,6 +473,6 @@ def workbook_files(s: StarSurvey) -> DataFrame:
                                  shared_folder(s.spark, "workbook"))
     read = {name: s.spark.read.csv(path, header=True) for name, path in sheets.items()}
     return read["States"].select(F.lit("States").alias("sheet"), "region_name", *[
-        F.col(c).cast("bigint").alias(c) for c in ("checklists", "species")]).unionByName(
+        F.col(c).try_cast("bigint").alias(c) for c in ("checklists", "species")]).unionByName(
         read["Countries"].select(F.lit("Countries").alias("sheet"), "region_name", *[
-            F.col(c).cast("bigint").alias(c) for c in ("checklists", "species")]))
+            F.col(c).try_cast("bigint").alias(c) for c in ("checklists", "species")]))

@@ -11,7 +11,8 @@ def _schema(**columns: T.DataType) -> T.StructType:
 
 _text, _whole, _real, _day = T.StringType(), T.LongType(), T.DoubleType(), T.DateType()
 
-# Facts. `place` is the finest region code known for a checklist: codes are
+# Facts: one row per checklist, one per species entry of a checklist, one per
+# upload. `place` is the finest region code known for a checklist: codes are
 # hierarchical, so every coarser region is a prefix of it.
 CHECKLISTS = _schema(checklist_id=_whole, observer_id=_whole, obs_date=_day, place=_text)
 SIGHTINGS = _schema(checklist_id=_whole, obs_date=_day, place=_text, species=_text,

@@ -17,16 +17,20 @@ from fieldtally.functions.columns import with_decimal_comma
 from fieldtally.session import shared_folder
 
 
-def write_csv(frame: DataFrame, path: str) -> None:
-    frame.write.mode("overwrite").option("header", True).csv(path)
+MISSING = "NA"  # fixed value: how a missing entry is written
 
 
-def write_semicolon_csv(frame: DataFrame, path: str) -> None:
+def write_csv(frame: DataFrame, path: str, missing: str = MISSING) -> None:
+    frame.write.mode("overwrite").options(header=True, nullValue=missing).csv(path)
+
+
+def write_semicolon_csv(frame: DataFrame, path: str, missing: str = MISSING) -> None:
     """CSV for locales with a decimal comma: fields apart by semicolons."""
     commas = {f.name: with_decimal_comma(F.col(f"`{f.name}`")) for f in frame.schema
               if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType))}
     localised = frame.withColumns(commas) if commas else frame
-    localised.write.mode("overwrite").option("header", True).option("sep", ";").csv(path)
+    localised.write.mode("overwrite").options(
+        header=True, nullValue=missing, sep=";").csv(path)
 
 
 def sheet_folder(sheet: str) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,22 +13,30 @@ from fieldtally.functions.columns import decimal_comma
 from fieldtally.operators.regions import region_dim
 
 
+# What stands for a missing entry in a CSV file.
+MISSING = ("", "NA")
+
+
 def _read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
-              columns: Mapping[str, str] | None, sep: str = ",") -> DataFrame:
+              columns: Mapping[str, str] | None,
+              missing: Sequence[str] = MISSING) -> DataFrame:
     """The named columns of CSV files with a header, as text cast to `schema`.
 
-    `columns` maps our names to those of the header where they differ. Numbers
-    that do not parse become NULL.
+    `columns` maps our names to those of the header where they differ. Entries
+    in `missing` and numbers that do not parse become NULL.
     """
     names = dict(columns or {})
-    raw = spark.read.csv(path, header=True, sep=sep, enforceSchema=False)
+    raw = spark.read.csv(path, header=True, enforceSchema=False)
     by_name = {c.strip(): c for c in raw.columns}
-    missing = [names.get(f.name, f.name) for f in schema if names.get(f.name, f.name) not in by_name]
-    if missing:
-        raise ValueError(f"columns not in {path}: {missing}")
-    return raw.select([
-        F.col(f"`{by_name[names.get(f.name, f.name)]}`").try_cast(f.dataType).alias(f.name)
-        for f in schema])
+    absent = [names.get(f.name, f.name) for f in schema if names.get(f.name, f.name) not in by_name]
+    if absent:
+        raise ValueError(f"columns not in {path}: {absent}")
+
+    def entry(field: T.StructField) -> Column:
+        text = F.col(f"`{by_name[names.get(field.name, field.name)]}`")
+        return F.when(~text.isin(*missing), text).try_cast(field.dataType).alias(field.name)
+
+    return raw.select([entry(field) for field in schema])
 
 
 def read_taxonomy(spark: SparkSession, path: str, columns: Mapping[str, str] | None = None,
@@ -51,8 +59,8 @@ def read_priority(spark: SparkSession, path: str,
 
 
 def read_region_lists(spark: SparkSession, countries: str, states: str, districts: str) -> DataFrame:
-    """The three lists of regions as one dimension."""
-    return region_dim(*[_read_csv(spark, path, schemas.REGION_LIST, None)
+    """The three lists of regions as one dimension. `NA` is a country here."""
+    return region_dim(*[_read_csv(spark, path, schemas.REGION_LIST, None, missing=("",))
                         for path in (countries, states, districts)])
 
 

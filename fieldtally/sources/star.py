@@ -31,6 +31,7 @@ TABLES = {
     "region": "r_regionkey INT, r_name STRING",
     "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
     "customer": "c_custkey BIGINT, c_nationkey INT, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT",
     "part": "p_partkey BIGINT, p_name STRING, p_size INT",
     "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ",
     "lineitem": "l_orderkey BIGINT, l_partkey BIGINT",

@@ -43,6 +43,22 @@ def test_status_and_name_changes_keep_their_columns_only(spark, tmp_path):
         ("old owl", "owl")]
 
 
+def test_missing_entries(spark, tmp_path):
+    path = write(tmp_path / "s.csv", "old_name,priority_status,endemic\nowl,NA,\nwren,Low,NA\n")
+    assert {tuple(r) for r in source.read_priority(spark, path).collect()} == {
+        ("owl", None, None), ("wren", "Low", None)}
+    frame = spark.createDataFrame([("a", None), (None, 1.5)], "x string, y double")
+    sink.write_csv(frame.coalesce(1), str(tmp_path / "out"))
+    assert next((tmp_path / "out").glob("part-*")).read_text() == "x,y\na,NA\nNA,1.5\n"
+
+
+def test_a_country_called_na(spark, tmp_path):
+    paths = [write(tmp_path / f"{n}.csv", "code,name\n" + row) for n, row in
+             enumerate(["NA,Namibia\n", "NA-ER,Erongo\n", ""])]
+    got = source.read_region_lists(spark, *paths).collect()
+    assert {tuple(r) for r in got} == {("NA", "Namibia", 0), ("NA-ER", "Erongo", 1)}
+
+
 def test_region_lists(spark, tmp_path):
     paths = [write(tmp_path / f"{n}.csv", "code,name\n" + row) for n, row in
              enumerate(["IN,India\n", "IN-GA,Goa\n", "IN-GA-N,North\n"])]
