@@ -175,10 +175,10 @@ def part_summ_multi(s: StarSurvey) -> DataFrame:
 
 
 def _summary(s: StarSurvey, days: EventDays) -> DataFrame:
-    seen = reduce_facts(s, days, tally.BY_DAY).seen
-    listed = _named(tally.species_by_region(seen, _regions(s)))
+    facts = reduce_facts(s, days, tally.BY_DAY)
+    listed = _named(tally.species_by_region(facts.seen, _regions(s)))
     return event.participation_summary(
-        s.visits(days=days), seen, _regions(s), days, s.region_dim(), listed)
+        facts.visits, facts.seen, _regions(s), days, s.region_dim(), listed)
 
 
 @_query
