@@ -371,7 +371,7 @@ SELECT code AS region, coalesce(no_species, 0) AS no_species, names,
 SELECT region, 'https://catalogue.example/search?mediaType=photo&sort=rating_rank_desc&obsDtFrom='
        || first_day || '&obsDtTo=' || last_day || '&regionCode=' || region AS link FROM spans""",
     "publication_note": TABLES + _SPANS + """
-, kinds AS (SELECT * FROM (VALUES ('GBBC'), ('HBC')) v(event_type))
+, kinds AS (SELECT * FROM (VALUES ('GBBC'), ('OTHER')) v(event_type))
 , notes AS (SELECT region, event_type, strftime(last_day + INTERVAL 1 MONTH, '%B %Y') AS next_month
             FROM spans CROSS JOIN kinds)
 SELECT *, CASE WHEN event_type = 'GBBC'

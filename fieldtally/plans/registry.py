@@ -29,7 +29,7 @@ YEAR = EventDays.span("1996-01-01", "1996-12-31")
 PATTERNS = ("R1", "R0-N5", "R2-N2-H")
 FREE_PATTERNS = ("R1-N1", "N2-H")
 CATALOGUE = "https://catalogue.example/search"
-EVENT_TYPES = ("GBBC", "HBC")
+EVENT_TYPES = ("GBBC", "OTHER")
 PERIOD = ("period",)
 
 Query = Callable[[SparkSession, str], DataFrame]

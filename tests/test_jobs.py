@@ -33,7 +33,7 @@ def contents(sheets):
     lambda s: jobs.live_summary(s, EventDays.of("1996-02-03"), ["R1", "R0-N5"], districts=True),
     lambda s: jobs.final_summary(s, DAYS),
     lambda s: jobs.event_report(s, DAYS, ["R0", "R1-N6"], "GBBC", "https://media.example/"),
-    lambda s: jobs.event_report(s, EventDays.of("1996-02-03"), ["R0"], "HBC", "https://x.example/"),
+    lambda s: jobs.event_report(s, EventDays.of("1996-02-03"), ["R0"], "OTHER", "https://x.example/"),
 ], ids=["live", "final", "report", "one-day report"])
 def test_both_layouts_give_the_same_sheets(surveys, job):
     star, facts = [contents(job(survey)) for survey in surveys]

@@ -6,10 +6,14 @@ import re
 
 import pytest
 
+from fieldtally import schemas
 from fieldtally.operators import calendar, regions, tally
 from fieldtally.plans.registry import EVENT, QUERIES
 from fieldtally.session import CHECKPOINT_KEY, shared_folder
+from fieldtally.sinks.files import write_facts
+from fieldtally.sources.files import read_facts
 from fieldtally.sources.star import StarSurvey
+from tests import world
 from tests.oracle_check import differences, open_tables
 
 SMALL = "/root/testdata/sf0.001"
@@ -36,6 +40,28 @@ def test_event_days_reach_the_scan_of_both_years(spark):
                      r"PushedFilters: \[[^\]]*1996-09-16T00:00[^\]]*1995-09-20T00:00", both)
 
 
+def test_two_years_of_partitioned_facts_read_their_days_only(spark, tmp_path):
+    facts, _, _ = world.make(6)
+    path = str(tmp_path / "facts")
+    write_facts(spark.createDataFrame(facts, schemas.CHECKLISTS), path)
+    plan = plan_of(calendar.tag_period(read_facts(spark, path, schemas.CHECKLISTS), world.DAYS))
+    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan).group(1)
+    for day in ("2024-02-16", "2024-02-19", "2023-02-16", "2023-02-19"):
+        assert day in filters
+
+
+def test_counting_by_observer_reuses_the_join_partitioning(spark):
+    """With large customers the place lookup is a shuffle join, and the count follows it."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(tally.participation_counts(StarSurvey(spark, SMALL).visits()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert re.search(r"SortMergeJoin \[observer_id", plan)
+    assert not re.search(r"Exchange hashpartitioning\(region#\d+, obs_date#\d+, observer_id", plan)
+
+
 def test_orders_are_counted_before_they_are_joined(spark):
     """However many orders one customer has, the join sees a row per customer and day."""
     plan = plan_of(StarSurvey(spark, SMALL).visits())

@@ -69,9 +69,9 @@ def test_disclaimer_depends_on_the_event(spark):
     spans = spark.createDataFrame([("IN", date(2024, 1, 28), date(2024, 1, 31))],
                                   "region string, first_day date, last_day date")
     got = {r["event_type"]: r["disclaimer"]
-           for r in report.publication_notes(spans, ["GBBC", "HBC"]).collect()}
+           for r in report.publication_notes(spans, ["GBBC", "OTHER"]).collect()}
     assert got == {"GBBC": "the final results will be published at the end of February 2024",
-                   "HBC": "the final numbers may vary"}
+                   "OTHER": "the final numbers may vary"}
 
 
 def test_tables_list_sub_regions_by_total(spark):
