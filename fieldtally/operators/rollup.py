@@ -6,7 +6,7 @@ event, `period` for an event and the one before, computed in the same pass.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,9 +24,13 @@ def _each_period(frame: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def participation_states(tally: DataFrame, sightings: DataFrame, states: DataFrame,
-                         dim: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Participation of each requested state, silent ones included, most observers first."""
-    counts = participation_by_region(tally, sightings, _each_period(states, by), by, (STATE,))
+                         dim: DataFrame, by: Sequence[str] = (),
+                         levels: Collection[int] = (STATE,)) -> DataFrame:
+    """Participation of each requested state, silent ones included, most observers first.
+
+    `levels` widens it to requested countries or districts.
+    """
+    counts = participation_by_region(tally, sightings, _each_period(states, by), by, levels)
     return with_region_name(counts, dim).select(
         *by, "region", "region_name", "checklists", "species", "observers").orderBy(
         *by, F.col("observers").desc(), F.col("species").desc(), "region")

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldtally.functions.columns import STATE
+from fieldtally.functions.columns import ALL_LEVELS, STATE
 from fieldtally.operators import event, regions, report, rollup, tally, taxa
 from fieldtally.operators.calendar import CURRENT, EventDays
 from fieldtally.operators.literal import region_frame
@@ -35,20 +35,25 @@ def reduce_facts(survey: Survey, days: EventDays | None, by: Sequence[str],
                         written(seen, "seen"))
 
 
+def _picked(survey: Survey, patterns: Sequence[str], districts: bool) -> DataFrame:
+    """The countries, states and (if wanted) districts that the patterns pick, with names."""
+    return regions.as_regions(
+        regions.select_regions(survey.region_codes(), patterns, districts))
+
+
 def live_summary(survey: Survey, days: EventDays, patterns: Sequence[str],
                  districts: bool = False) -> dict[str, DataFrame]:
     """Summary of picked regions: participation, countries, species and notable species."""
     dim, taxonomy = survey.region_dim(), survey.taxonomy()
-    picked = regions.select_regions(survey.region_codes(), patterns, districts)
-    places = picked.select(F.col("code").alias("region"))
-    states = picked.where(F.col("level") == STATE).select(F.col("code").alias("region"))
+    places = _picked(survey, patterns, districts)
     group = survey.country_group()
     facts = reduce_facts(survey, days, ())
     listed = tally.species_by_region(facts.seen, places)
     notable = tally.notable_sightings(survey.sightings(days)).join(
         places, "region", "left_semi")
     return {
-        "States": rollup.participation_states(facts.visits, facts.seen, states, dim),
+        "States": rollup.participation_states(
+            facts.visits, facts.seen, places, dim, levels=ALL_LEVELS),
         "Countries": rollup.participation_countries(facts.visits, facts.seen, group),
         "Species per region": tally.species_per_region(listed),
         "Species list": taxa.combined_species(
@@ -57,20 +62,26 @@ def live_summary(survey: Survey, days: EventDays, patterns: Sequence[str],
     }
 
 
-def final_summary(survey: Survey, days: EventDays) -> dict[str, DataFrame]:
-    """All states and countries with region coverage and the change on the year before.
+def final_summary(survey: Survey, days: EventDays, patterns: Sequence[str] | None = None,
+                  districts: bool = False) -> dict[str, DataFrame]:
+    """States and countries with region coverage and the change on the year before.
 
+    `patterns` picks the regions of the event; without it all states take part.
     Facts of both years are tagged and aggregated in one pass.
     """
     by = ("period",)
     dim, group, codes = survey.region_dim(), survey.country_group(), survey.region_codes()
     facts = reduce_facts(survey, days, by, two_years=True)
-    every_state = regions.as_regions(dim, (STATE,))
-    states = rollup.participation_states(facts.visits, facts.seen, every_state, dim, by)
+    if patterns is None:
+        places = regions.as_regions(dim, (STATE,))
+    else:
+        places = _picked(survey, patterns, districts)
+    states = rollup.participation_states(facts.visits, facts.seen, places, dim, by, ALL_LEVELS)
     coverage = rollup.region_coverage(states, codes, by)
     countries = rollup.participation_countries(
         facts.visits, facts.seen, group, coverage, by)
-    listed = facts.seen.withColumnRenamed("species", "english_name")
+    listed = tally.species_seen(facts.seen, by).join(places, "region", "left_semi") \
+        .withColumnRenamed("species", "english_name")
     overall = rollup.overall_totals(countries, listed, by)
 
     def current(frame: DataFrame) -> DataFrame:

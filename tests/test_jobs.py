@@ -32,9 +32,10 @@ def contents(sheets):
 @pytest.mark.parametrize("job", [
     lambda s: jobs.live_summary(s, EventDays.of("1996-02-03"), ["R1", "R0-N5"], districts=True),
     lambda s: jobs.final_summary(s, DAYS),
+    lambda s: jobs.final_summary(s, DAYS, ["R2", "R3-N3"]),
     lambda s: jobs.event_report(s, DAYS, ["R0", "R1-N6"], "GBBC", "https://media.example/"),
     lambda s: jobs.event_report(s, EventDays.of("1996-02-03"), ["R0"], "OTHER", "https://x.example/"),
-], ids=["live", "final", "report", "one-day report"])
+], ids=["live", "final", "picked final", "report", "one-day report"])
 def test_both_layouts_give_the_same_sheets(surveys, job):
     star, facts = [contents(job(survey)) for survey in surveys]
     assert star == facts
@@ -53,6 +54,23 @@ def test_final_summary_sheets_agree_with_each_other(spark):
     assert len(sheets["Overall YoY"].collect()) == 1
 
 
+def test_picked_regions_only(spark):
+    survey = world.survey_of(spark, *world.make(3))
+    with_districts = jobs.live_summary(survey, world.DAYS, ["IN-KL", "BT-2-Y"], districts=True)
+    picked = {"IN-KL", "IN-KL-A", "IN-KL-B", "BT-2-Y"}
+    assert {r["region"] for r in with_districts["States"].collect()} == picked
+    assert {r["region"] for r in with_districts["Species per region"].collect()} == picked
+    without = jobs.live_summary(survey, world.DAYS, ["IN-KL"])
+    assert {r["region"] for r in without["States"].collect()} == {"IN-KL"}
+    final = jobs.final_summary(survey, world.DAYS, ["IN-KL"])
+    assert {r["region"] for r in final["States"].collect()} == {"IN-KL"}
+    kerala = {r[3] for r in world.make(3)[1] if world.in_event(r[1]) and r[2].startswith("IN-KL")}
+    assert {r["english_name"] for r in final["Species list"].collect()} == kerala
+    covered = {r["region_name"]: (r["regions"], r["tot_regions"])
+               for r in final["Countries"].collect()}
+    assert covered["India"] == (1, 1) and covered["Bhutan"] == (None, None)
+
+
 def test_report_covers_requested_regions_only(spark):
     survey = world.survey_of(spark, *world.make(4))
     sheets = jobs.event_report(survey, world.DAYS, ["IN", "BT-2"], "GBBC", "https://x.example/")
