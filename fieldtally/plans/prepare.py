@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from fieldtally import schemas
+from fieldtally.operators.calendar import EventDays
 from fieldtally.sinks.files import write_facts
 from fieldtally.sources.facts import FactSurvey
 from fieldtally.sources.files import read_facts
@@ -18,10 +19,11 @@ FACTS = {"checklists": schemas.CHECKLISTS, "sightings": schemas.SIGHTINGS, "medi
 DIMENSIONS = ("region_codes", "region_dim", "country_group", "taxonomy", "name_change", "priority")
 
 
-def prepare_facts(survey: StarSurvey, folder: str) -> None:
+def prepare_facts(survey: StarSurvey, folder: str, days: EventDays | None = None) -> None:
+    """Writes all facts, or those of some days in place of what was there for them."""
     for name, schema in FACTS.items():
-        facts = getattr(survey, name)().select(*schema.fieldNames())
-        write_facts(facts, f"{folder}/{name}")
+        facts = getattr(survey, name)(days).select(*schema.fieldNames())
+        write_facts(facts, f"{folder}/{name}", keep_other_days=days is not None)
     for name in DIMENSIONS:
         getattr(survey, name)().write.mode("overwrite").parquet(f"{folder}/{name}")
 

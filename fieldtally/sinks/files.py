@@ -57,10 +57,13 @@ def written(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def write_facts(facts: DataFrame, path: str) -> None:
+def write_facts(facts: DataFrame, path: str, keep_other_days: bool = False) -> None:
     """Facts partitioned by day, so that an event reads its own days only.
 
     Rows of one day spread over as many files as its size asks for: the
-    shuffle target splits a busy day, so no task writes a whole one.
+    shuffle target splits a busy day, so no task writes a whole one. With
+    `keep_other_days` only the days in `facts` are replaced.
     """
-    facts.hint("rebalance", "obs_date").write.mode("overwrite").partitionBy("obs_date").parquet(path)
+    mode = "dynamic" if keep_other_days else "static"
+    facts.hint("rebalance", "obs_date").write.mode("overwrite").option(
+        "partitionOverwriteMode", mode).partitionBy("obs_date").parquet(path)

@@ -123,6 +123,18 @@ def test_facts_by_day_are_pruned_by_folder(spark, tmp_path):
     assert facts.count() == len(checklists)
 
 
+def test_reloading_a_day_keeps_the_others(spark, tmp_path):
+    checklists, _, _ = world.make(5)
+    path = str(tmp_path / "facts")
+    frame = spark.createDataFrame(checklists, schemas.CHECKLISTS)
+    sink.write_facts(frame, path)
+    sink.write_facts(frame.where(F.col("obs_date") == world.DAYS.first).limit(1), path,
+                     keep_other_days=True)
+    of_day = sum(r[2] == world.DAYS.first for r in checklists)
+    left = source.read_facts(spark, path, schemas.CHECKLISTS).count()
+    assert left == len(checklists) - of_day + 1
+
+
 def test_written_table_equals_the_frame(spark):
     frame = spark.createDataFrame([(1, None), (2, "x")], "a bigint, b string")
     assert sorted(map(str, sink.written(frame, "t").collect())) == sorted(map(str, frame.collect()))
