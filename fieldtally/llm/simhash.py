@@ -167,21 +167,18 @@ def near_links(classes: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     half = most_bits // 2
     leads = [half, max(0, (most_bits - 1) // 2)]  # a pair beyond the first has fewer in the second
 
-    frames = []
-    for turn, lead in enumerate(leads):
+    def sent(turn: int) -> DataFrame:
         turned = F.col("fp") if not turn else F.shiftleft("fp", 32).bitwiseOR(
             F.shiftrightunsigned("fp", 32))
-        part = F.shiftrightunsigned(turned, 64 - bits).cast("int") if bits else F.lit(0)
-        masks = [m for m in range(1 << bits) if m.bit_count() <= lead] if bits <= 12 else None
-        if masks is None:
-            masks = [0, *(1 << i for i in range(bits) if lead >= 1)]
-            masks += [(1 << i) | (1 << j) for i in range(bits) for j in range(i) if lead >= 2]
-        near = F.filter(F.transform(F.array(*map(F.lit, masks)), lambda m, p=part: p.bitwiseXOR(m)),
-                        lambda q, p=part: q <= p)
-        frames.append(classes.select(
-            F.lit(turn).alias("turn"), turned.alias("turned"), part.alias("home"),
-            F.explode(near).alias("part")))
-    sent = frames[0].union(frames[1])
+        home = F.shiftrightunsigned(turned, 64 - bits).cast("int") if bits else F.lit(0)
+        places = [1 << i for i in range(bits)]
+        masks = [0, *(places if leads[turn] >= 1 else [])]
+        for _ in range(leads[turn] - 1):
+            masks = sorted({m | p for m in masks for p in [0, *places]})
+        parts = F.filter(F.transform(F.array(*map(F.lit, masks)), lambda m: home.bitwiseXOR(m)),
+                         lambda part: part <= home)
+        return classes.select(F.lit(turn).alias("turn"), turned.alias("turned"),
+                              home.alias("home"), F.explode(parts).alias("part"))
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for run in key_runs(batches, ["turn", "part"]):
@@ -196,7 +193,7 @@ def near_links(classes: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
             if len(left):
                 yield pd.DataFrame({"a": pairs[0].view(np.int64), "b": pairs[1].view(np.int64)})
 
-    dealt = sent.repartition("turn", "part").sortWithinPartitions("turn", "part")
+    dealt = sent(0).union(sent(1)).repartition("turn", "part").sortWithinPartitions("turn", "part")
     return dealt.mapInPandas(walk, "a bigint, b bigint")
 
 
