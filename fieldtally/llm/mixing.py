@@ -12,6 +12,8 @@ BLOCK_WORDS = 128
 MOST_EPOCHS = 3
 #: A source's slots differ from its target by fewer blocks than this.
 SLACK_BLOCKS = 16
+#: So many sources' rows may be sent to every task.
+SENT_SOURCES = 20_000
 #: The golden ratio's fraction of 2^31, made odd: the schedule's points are i * STEP mod 2^31.
 #: Whole numbers keep the points exact for any i; after 2^31 slots the same even set repeats.
 POINTS = 1 << 31
@@ -84,6 +86,16 @@ def schedule(targets: DataFrame, slots: int) -> DataFrame:
     return ranked.select("slot", "source_key", F.col("before").alias("block"))
 
 
+def by_source(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """Rows joined with their source's row, without moving rows if there are few sources.
+
+    A source with a third of all rows would meet in one task otherwise. With more sources
+    than SENT_SOURCES the sides are shuffled, and adaptive execution may split the hot one.
+    """
+    few = sources.limit(SENT_SOURCES + 1).count() <= SENT_SOURCES
+    return rows.join(F.broadcast(sources) if few else sources, "source_key")
+
+
 def mix(docs: DataFrame, size: F.Column | None = None, block: int = BLOCK_WORDS,
         seed: int = 30) -> tuple[DataFrame, DataFrame]:
     """The mix as two tables: its sources and its spans of documents.
@@ -107,14 +119,14 @@ def mix(docs: DataFrame, size: F.Column | None = None, block: int = BLOCK_WORDS,
     rows = checkpointed(sized.withColumn("copy", F.row_number().over(alike)).withColumn(
         "source_key", group_key(F.col("source"))))
     sizes = rows.groupBy("source_key").agg(F.sum("size").alias("source_size"))
-    targets = source_targets(sizes)
+    targets = checkpointed(source_targets(sizes))
     count, words = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     slots = -(-words // block)
     plan = schedule(targets, slots)
     epochs = F.least(F.lit(MOST_EPOCHS), F.ceil(
         (F.col("target") + SLACK_BLOCKS * block) / F.greatest("source_size", F.lit(1)))).cast("int")
     needed = targets.select("source_key", epochs.alias("epochs"))
-    repeated = rows.join(needed, "source_key").withColumn(
+    repeated = by_source(rows, needed).withColumn(
         "epoch", F.explode(F.sequence(F.lit(0), F.greatest(F.col("epochs") - 1, F.lit(0)))))
     # Epochs follow each other in the key, each in an order of its own.
     lane = KEY_SPAN >> 2

@@ -49,7 +49,7 @@ def op3_scheduled_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources, spans = mixing.mix(table(spark, sf_dir, "documents"))
     taken = spans.groupBy("doc_id", "source", "source_key", "size", "copy").agg(
         F.coalesce(F.sum("length"), F.lit(0)).cast("bigint").alias("taken"))
-    return taken.join(sources, "source_key").select(
+    return mixing.by_source(taken, sources).select(
         "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", "source")
 
 
