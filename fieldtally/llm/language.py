@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldtally.llm.common import with_columns_of
-from fieldtally.llm.samples import bounded_texts
+from fieldtally.llm.samples import bounded_texts, sizes
 
 SAMPLE_ROWS = 1500
 SAMPLE_BYTES = 6_000_000
@@ -216,7 +216,8 @@ def fit(texts: dict[str, list[str]], path: str | None = None) -> LanguageModel:
 def train(docs: DataFrame, usable: Column, most_rows: int = SAMPLE_ROWS,
           most_bytes: int = SAMPLE_BYTES, path: str | None = None) -> LanguageModel:
     """Fits on a bounded sample of each language among usable rows with a lang."""
-    sample = bounded_texts(docs.where(usable), F.col("lang"), most_rows, most_bytes)
+    docs = docs.where(usable)
+    sample = bounded_texts(docs, sizes(docs, F.col("lang").alias("kind")), most_rows, most_bytes)
     return fit({k: g["text"].tolist() for k, g in sample.groupby("kind")}, path)
 
 

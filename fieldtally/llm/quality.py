@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldtally.llm.common import with_columns_of
-from fieldtally.llm.samples import SAMPLE_BYTES, SAMPLE_ROWS, bounded_texts, with_labels
+from fieldtally.llm.samples import SAMPLE_BYTES, SAMPLE_ROWS, bounded_texts, labelled
 
 PASSAGE_WORDS = 64
 HIDDEN = 24
@@ -151,10 +151,10 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 20) -> QualityModel:
 def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "quality",
           most_rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> QualityModel:
     """Fits on a bounded sample of usable labelled rows, all labels in their own share."""
-    known = with_labels(docs.where(usable), labels, label)
+    docs = docs.where(usable)
     # Both labels in one kind keeps their shares, which the scores then follow.
-    both = known.where("label in (0, 1)")
-    sample = bounded_texts(both, F.lit(0), most_rows, most_bytes, passed="label")
+    known = labelled(docs, labels, label).where("label in (0, 1)").withColumn("kind", F.lit(0))
+    sample = bounded_texts(docs, known, most_rows, most_bytes)
     return fit(sample["text"].tolist(), sample["label"].to_numpy())
 
 

@@ -3,46 +3,60 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Bounds of what one class of one fit takes: rows, and bytes of their texts.
 SAMPLE_ROWS = 4000
 SAMPLE_BYTES = 16_000_000
+#: Of a large class, rows whose hash is low are looked at: about so many times the bound.
+LOOKED_AT = 4
+HASHES = 1 << 32
 
 
-def bounded_texts(rows: DataFrame, kind: Column, most_rows: int = SAMPLE_ROWS,
-                  most_bytes: int = SAMPLE_BYTES, seed: int = 70,
-                  passed: str | None = None) -> pd.DataFrame:
-    """Whole texts of a seeded sample of each kind, as columns kind and text (and passed).
+def sizes(docs: DataFrame, *columns) -> DataFrame:
+    """doc_id, the bytes of its text, and more columns, but not the text."""
+    return docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"),
+                       *columns)
 
-    Of each kind the first most_rows rows in a hashed order of doc_id are candidates, and
-    of these, in the same order, as many as most_bytes hold (the first always). Lengths
-    are looked at first, texts are read for chosen rows alone, so what reaches the driver
-    is bounded whatever the lengths. Rows with a null kind are left out; null texts are
-    empty. Repeated rows repeat.
-    """
-    drawn = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    ranked = Window.partitionBy("kind").orderBy("drawn", "doc_id")
-    first = (rows.select(kind.alias("kind"), "doc_id", drawn.alias("drawn"),
-                         F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"))
-             .where("kind is not null").withColumn("rank", F.row_number().over(ranked))
-             .where(F.col("rank") <= most_rows))
-    within = ranked.rowsBetween(Window.unboundedPreceding, 0)
-    chosen = (first.withColumn("upto", F.sum("bytes").over(within))
-              .where((F.col("upto") <= most_bytes) | (F.col("rank") == 1))
-              .select("doc_id", "kind").distinct())
-    # At most most_rows slim rows of each kind, so small enough to send to every task.
-    more = [passed] if passed else []
-    texts = rows.select("doc_id", kind.alias("kind"), *more,
-                        F.coalesce("text", F.lit("")).alias("text"))
-    taken = texts.join(F.broadcast(chosen), ["doc_id", "kind"], "left_semi")
-    return taken.select("kind", *more, "text", F.xxhash64(F.lit(seed), F.col("doc_id")).alias("drawn")
-                        ).toPandas().sort_values(["kind", "drawn", "text"]).drop(columns="drawn")
 
+def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """doc_id, bytes and label of documents with one; texts stay where they are.
 
-def with_labels(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """doc_id, text and the label (null where there is none), without moving texts twice."""
+    Of several labels of one id the largest counts.
+    """
     known = labels.where(F.col(label).isNotNull()).groupBy("doc_id").agg(
         F.max(label).alias("label"))
-    return docs.select("doc_id", "text").join(known, "doc_id", "left")
+    return sizes(docs).join(known, "doc_id")
+
+
+def bounded_texts(docs: DataFrame, rows: DataFrame, most_rows: int = SAMPLE_ROWS,
+                  most_bytes: int = SAMPLE_BYTES, seed: int = 70) -> pd.DataFrame:
+    """Whole texts of a seeded sample of each kind: the columns of rows, and text.
+
+    rows has doc_id, bytes and kind (null: left out). Of each kind the first most_rows
+    rows in a hashed order of doc_id are candidates, and of these, in the same order, as
+    many as most_bytes hold (the first always). A kind with many more rows is first cut
+    by a limit on the hash that leaves a few times most_rows, so no task ranks a kind as
+    a whole. Texts are read for chosen rows alone, so what reaches the driver is bounded
+    whatever the lengths. Null texts are empty; repeated rows repeat.
+    """
+    drawn = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(HASHES))
+    rows = rows.where("kind is not null").withColumn("drawn", drawn)
+    enough = LOOKED_AT * most_rows
+    limit = F.lit(HASHES)
+    for r in rows.groupBy("kind").count().where(F.col("count") > enough).collect():
+        limit = F.when(F.col("kind") == F.lit(r["kind"]),
+                       F.lit(HASHES * enough // r["count"])).otherwise(limit)
+    ranked = Window.partitionBy("kind").orderBy("drawn", "doc_id")
+    within = ranked.rowsBetween(Window.unboundedPreceding, 0)
+    chosen = (rows.where(F.col("drawn") <= limit)
+              .withColumns({"rank": F.row_number().over(ranked),
+                            "upto": F.sum("bytes").over(within)})
+              .where((F.col("rank") <= most_rows)
+                     & ((F.col("upto") <= most_bytes) | (F.col("rank") == 1)))
+              .drop("rank", "upto", "bytes").distinct())
+    # At most most_rows slim rows of each kind, so small enough to send to every task.
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    found = texts.join(F.broadcast(chosen), "doc_id").toPandas()
+    return found.sort_values(["kind", "drawn", "text"]).drop(columns=["drawn", "doc_id"])

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldtally.llm.common import with_columns_of
-from fieldtally.llm.samples import SAMPLE_BYTES, SAMPLE_ROWS, bounded_texts, with_labels
+from fieldtally.llm.samples import (
+    SAMPLE_BYTES, SAMPLE_ROWS, bounded_texts, labelled, sizes)
 
 LETTERS = re.compile(r"[^\W\d_]+")
 GRAMS = (4, 5)
@@ -142,14 +143,15 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxi
 
     The prior is the share of toxic ones among usable labelled rows.
     """
-    known = with_labels(docs.where(usable), labels, label)
-    counts = {r["label"]: r["n"] for r in known.where("label is not null").groupBy("label").agg(
-        F.count(F.lit(1)).alias("n")).collect()}
+    docs = docs.where(usable)
+    known = labelled(docs, labels, label)
+    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     total = sum(counts.values())
     prior = counts.get(1, 0) / total if total else 0.0
-    toxic = bounded_texts(known, F.when(F.col("label") == 1, F.lit(1)), most_rows, most_bytes)
-    drawn = bounded_texts(docs.where(usable), F.lit(0), most_rows, most_bytes)
-    return fit(toxic["text"].tolist(), drawn["text"].tolist(), prior)
+    toxic = known.where("label = 1").withColumn("kind", F.lit(1))
+    texts = [bounded_texts(docs, rows, most_rows, most_bytes)["text"].tolist()
+             for rows in (toxic, sizes(docs, F.lit(0).alias("kind")))]
+    return fit(*texts, prior)
 
 
 def score(docs: DataFrame, model: ToxicModel, passed: Sequence[str] = ("doc_id",)) -> DataFrame:
