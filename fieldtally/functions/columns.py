@@ -22,6 +22,9 @@ def region_level(code: Column) -> Column:
     """0 for a country, 1 for a state, 2 for a district: the hyphens in its code."""
     return F.length(code) - F.length(F.replace(code, F.lit("-"), F.lit("")))
 
+#: Standard CSV quoting: a quote within a quoted entry is doubled.
+QUOTING = {"quote": '"', "escape": '"'}
+
 
 def code_at(code: Column, level: int) -> Column:
     """The region of `level` that holds `code`; NULL when `code` is coarser than that."""

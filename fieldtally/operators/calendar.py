@@ -119,12 +119,13 @@ def day_number(days: EventDays | DataFrame, day: Column) -> Column:
     return F.date_diff(day, days.select("first_day").scalar()) + 1
 
 
-def tag_period(facts: DataFrame, days: EventDays) -> DataFrame:
-    """Facts of the event as `cur` and of the year before as `prev`, in one pass.
+def tag_period(facts: DataFrame, days: EventDays, before: EventDays | None = None) -> DataFrame:
+    """Facts of the event as `cur` and of an earlier one as `prev`, in one pass.
 
-    A day that belongs to both events is kept once for each.
+    The earlier event has its own days, or the same ones a year before. A day that
+    belongs to both events is kept once for each.
     """
-    before = days.previous()
+    before = before or days.previous()
     day = F.col("obs_date")
     periods = F.array(
         F.when(days.contains(day), CURRENT), F.when(before.contains(day), PREVIOUS))

@@ -37,17 +37,14 @@ def species_list_by_day(sightings: DataFrame, regions: DataFrame, days: EventDay
                         levels: Collection[int] = ALL_LEVELS) -> DataFrame:
     """The one-day list of each day, in taxonomic order within a region.
 
-    The lists of an event come as one ordered table. For a whole record each
-    list is whole and in order within one partition, which spares a global sort.
+    The lists come as one table, in order of day, region and taxonomy.
     """
     listed = species_by_region_day(sightings, regions, days, levels).withColumnRenamed(
         "species", "english_name")
     named = with_region_name(with_taxonomy(listed, taxonomy), dim)
     lists = named.select("obs_date", "region", "region_name", "english_name", "sort")
     order = ("obs_date", "region", F.col("sort").asc_nulls_last(), "english_name")
-    if isinstance(days, EventDays):
-        return lists.orderBy(*order)
-    return lists.repartition("obs_date", "region").sortWithinPartitions(*order)
+    return lists.orderBy(*order)
 
 
 def _day_bits(day_no: Column, days: EventDays) -> list[Column]:

@@ -27,11 +27,11 @@ class ReducedFacts:
 
 
 def reduce_facts(survey: Survey, days: EventDays | None, by: Sequence[str],
-                 two_years: bool = False) -> ReducedFacts:
+                 two_years: bool = False, before: EventDays | None = None) -> ReducedFacts:
     """The facts of an event (or of all time), read once and written down reduced."""
-    seen = survey.sightings(days, two_years).where(F.col("species").isNotNull()).select(
+    seen = survey.sightings(days, two_years, before).where(F.col("species").isNotNull()).select(
         "place", *by, "species").distinct()
-    return ReducedFacts(written(survey.visits(by, days, two_years), "visits"),
+    return ReducedFacts(written(survey.visits(by, days, two_years, before), "visits"),
                         written(seen, "seen"))
 
 
@@ -63,15 +63,18 @@ def live_summary(survey: Survey, days: EventDays, patterns: Sequence[str],
 
 
 def final_summary(survey: Survey, days: EventDays, patterns: Sequence[str] | None = None,
-                  districts: bool = False) -> dict[str, DataFrame]:
-    """States and countries with region coverage and the change on the year before.
+                  districts: bool = False,
+                  before: EventDays | None = None) -> dict[str, DataFrame]:
+    """States and countries with region coverage and the change on an earlier event.
+
+    The earlier event is on its own days, or on the same ones a year before.
 
     `patterns` picks the regions of the event; without it all states take part.
     Facts of both years are tagged and aggregated in one pass.
     """
     by = ("period",)
     dim, group, codes = survey.region_dim(), survey.country_group(), survey.region_codes()
-    facts = reduce_facts(survey, days, by, two_years=True)
+    facts = reduce_facts(survey, days, by, two_years=True, before=before)
     if patterns is None:
         places = regions.as_regions(dim, (STATE,))
     else:

@@ -14,7 +14,7 @@ WITH state_of AS (
   FROM nation JOIN region ON n_regionkey = r_regionkey),
 observer AS (
   SELECT c_custkey, country_code, country, state_code, state,
-         state_code || '-' || substr(c_mktsegment, 1, 1) AS county_code, c_mktsegment AS county
+         state_code || '-' || replace(c_mktsegment, '-', '_') AS county_code, c_mktsegment AS county
   FROM customer JOIN state_of ON c_nationkey = n_nationkey),
 codes AS (
   SELECT DISTINCT country_code, country, state_code, state, county_code, county FROM observer),
@@ -74,6 +74,8 @@ _LEAP_DAYS = [f"1996-02-{n:02d}" for n in range(1, 30)]
 _EVENT = "obs_date BETWEEN DATE '1996-09-16' AND DATE '1996-09-19'"
 _EVENT_BEFORE = "obs_date BETWEEN DATE '1995-09-16' AND DATE '1995-09-19'"
 _YEAR = "obs_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'"
+_LEAP_MONTH = "obs_date BETWEEN DATE '1996-02-01' AND DATE '1996-02-29'"
+_EARLIER_EVENT = "obs_date BETWEEN DATE '1995-02-24' AND DATE '1995-03-01'"
 _YEAR_BEFORE = "obs_date BETWEEN DATE '1995-01-01' AND DATE '1995-12-31'"
 
 
@@ -246,13 +248,13 @@ SELECT u.pattern AS requested, code, name, CAST(level AS BIGINT) AS level
 FROM (SELECT * FROM (VALUES ('R1-N1'), ('N2-H')) v(pattern)) u
 JOIN dim ON contains(code, u.pattern)""",
     "region_rejects": TABLES + """
-SELECT DISTINCT state_code || '-' || substr(s_name, 1, 1) AS region
+SELECT DISTINCT state_code || '-' || replace(s_name, '-', '_') AS region
 FROM supplier JOIN state_of ON s_nationkey = n_nationkey
-WHERE state_code || '-' || substr(s_name, 1, 1) NOT IN (SELECT code FROM dim)""",
+WHERE state_code || '-' || replace(s_name, '-', '_') NOT IN (SELECT code FROM dim)""",
     "region_names": TABLES + "SELECT code AS region, name AS region_name FROM dim WHERE level < 2",
     "region_select": TABLES + """
 SELECT code, name, CAST(level AS BIGINT) AS level FROM dim
-WHERE code IN ('R1', 'R0-N5', 'R2-N2-H') OR code LIKE 'R1-%' OR code LIKE 'R0-N5-%'""",
+WHERE code IN ('R1', 'R0-N5', 'R2-N2-HOUSEHOLD') OR code LIKE 'R1-%' OR code LIKE 'R0-N5-%'""",
     "region_select_free_match": TABLES + """
 SELECT code, name, CAST(level AS BIGINT) AS level FROM dim
 WHERE level < 2 AND (code LIKE '%R1-N1%' OR code LIKE '%N2-H%')""",
@@ -319,6 +321,7 @@ WHERE region_name IN (SELECT region_name FROM grp GROUP BY 1 HAVING count(*) > 1
     "overall_totals": TABLES + _states() + _overall("countries"),
     "yoy_countries": _change_by_country(_YEAR, _YEAR_BEFORE),
     "yoy_countries_event": _change_by_country(_EVENT, _EVENT_BEFORE),
+    "yoy_countries_dates": _change_by_country(_LEAP_MONTH, _EARLIER_EVENT),
     "yoy_overall": TABLES + _states(_YEAR, "_now") + _states(_YEAR_BEFORE, "_before")
     + ", total_now AS (" + _overall("countries_now", _YEAR) + "), total_before AS ("
     + _overall("countries_before", _YEAR_BEFORE) + ") SELECT "

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldtally.functions.columns import COUNTRY, STATE, decimal_comma, slashed_date
+from fieldtally.functions.columns import COUNTRY, QUOTING, STATE, decimal_comma, slashed_date
 from fieldtally.operators import calendar, event, regions, report, rollup, tally, taxa
 from fieldtally.operators.calendar import EventDays
 from fieldtally.plans.jobs import ReducedFacts, reduce_facts
@@ -21,12 +21,13 @@ from fieldtally.session import shared_folder
 from fieldtally.sinks import files as sink
 from fieldtally.sources import files as source
 from fieldtally.sources import payloads
-from fieldtally.sources.star import StarSurvey
+from fieldtally.sources.star import StarSurvey, district_code
 
 EVENT = EventDays.span("1996-09-16", "1996-09-19")
 LEAP_MONTH = EventDays.span("1996-02-01", "1996-02-29")
+EARLIER_EVENT = EventDays.span("1995-02-24", "1995-03-01")
 YEAR = EventDays.span("1996-01-01", "1996-12-31")
-PATTERNS = ("R1", "R0-N5", "R2-N2-H")
+PATTERNS = ("R1", "R0-N5", "R2-N2-HOUSEHOLD")
 FREE_PATTERNS = ("R1-N1", "N2-H")
 CATALOGUE = "https://catalogue.example/search"
 EVENT_TYPES = ("GBBC", "OTHER")
@@ -92,7 +93,7 @@ def region_rejects(s: StarSurvey) -> DataFrame:
         s.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     state = F.concat(F.lit("R"), "n_regionkey", F.lit("-N"), "n_nationkey")
     asked = places.select(F.explode(F.array(
-        state, F.concat(state, F.lit("-"), F.substring("s_name", 1, 1)))).alias("region"))
+        state, F.concat(state, F.lit("-"), district_code(F.col("s_name"))))).alias("region"))
     return regions.unknown_regions(asked, s.region_dim())
 
 
@@ -245,7 +246,7 @@ def overall_species_files(s: StarSurvey) -> DataFrame:
     folder = shared_folder(s.spark, "lists")
     seen = _named(tally.species_seen(s.sightings(), (), (COUNTRY,)))
     files = seen.select("english_name", F.concat("region", F.lit("_SpeciesList.csv")).alias("list"))
-    files.write.partitionBy("list").option("header", True).csv(folder)
+    files.write.partitionBy("list").options(header=True, **QUOTING).csv(folder)
     lists = source.read_species_lists(s.spark, folder, "list=*SpeciesList.csv")
     return taxa.combined_species(lists, s.taxonomy())
 
@@ -310,6 +311,13 @@ def yoy_countries_event(s: StarSurvey) -> DataFrame:
     return rollup.year_over_year(_countries(s, facts, PERIOD), ["region_name"])
 
 
+@_query
+def yoy_countries_dates(s: StarSurvey) -> DataFrame:
+    """An event against an earlier one on days, and with a length, of its own."""
+    facts = reduce_facts(s, LEAP_MONTH, PERIOD, two_years=True, before=EARLIER_EVENT)
+    return rollup.year_over_year(_countries(s, facts, PERIOD), ["region_name"])
+
+
 @_query
 def yoy_overall(s: StarSurvey) -> DataFrame:
     facts = reduce_facts(s, YEAR, PERIOD, two_years=True)
@@ -458,7 +466,7 @@ def decimal_comma_file(s: StarSurvey) -> DataFrame:
 def semicolon_file(s: StarSurvey) -> DataFrame:
     path = shared_folder(s.spark, "semicolon")
     sink.write_semicolon_csv(_coverage(s, s.visits(())), path)
-    back = s.spark.read.csv(path, sep=";", header=True)
+    back = s.spark.read.csv(path, sep=";", header=True, **QUOTING)
     return back.select("region_name", *[F.col(c).try_cast("bigint").alias(c)
                                         for c in ("regions", "tot_regions")],
                        decimal_comma(F.col("region_cov")).alias("region_cov"))
@@ -471,7 +479,7 @@ def workbook_files(s: StarSurvey) -> DataFrame:
         facts.visits, facts.seen, _regions(s, STATE), s.region_dim())
     sheets = sink.write_workbook({"States": states, "Countries": _countries(s, facts)},
                                  shared_folder(s.spark, "workbook"))
-    read = {name: s.spark.read.csv(path, header=True) for name, path in sheets.items()}
+    read = {name: s.spark.read.csv(path, header=True, **QUOTING) for name, path in sheets.items()}
     return read["States"].select(F.lit("States").alias("sheet"), "region_name", *[
         F.col(c).try_cast("bigint").alias(c) for c in ("checklists", "species")]).unionByName(
         read["Countries"].select(F.lit("Countries").alias("sheet"), "region_name", *[

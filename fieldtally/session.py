@@ -16,11 +16,18 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The checklists of an event's days filter all sightings before their shuffle.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "10g",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": str(1 << 30),
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": str(100_000_000),
 }
 
 
-SHUFFLE_TARGET = 128 * 1024 * 1024
+# Two or three narrow columns of a fact are shuffled, about a tenth of its bytes.
+SHUFFLED_SHARE = 10
+SHUFFLE_TARGET = 1 << 30
+MERGED_TARGET = 128 << 20
 DEFAULT_PARTITIONS = 200
 
 
@@ -28,13 +35,14 @@ def settings_for(input_bytes: int) -> dict[str, str]:
     """Shuffle settings for facts of this size.
 
     Adaptive execution merges small partitions but never adds any to an even
-    shuffle, so the number it starts from has to suit the largest one: about
-    one partition for each 128 MB read.
+    shuffle, so the number it starts from has to suit the largest one: a partition
+    for each GB that is shuffled, some ten thousand for 100 TB. More would cost the
+    driver more in map statuses than smaller partitions gain.
     """
-    partitions = max(DEFAULT_PARTITIONS, -(-input_bytes // SHUFFLE_TARGET))
+    partitions = max(DEFAULT_PARTITIONS, -(-input_bytes // (SHUFFLED_SHARE * SHUFFLE_TARGET)))
     return {
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_TARGET),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(MERGED_TARGET),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     }
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldtally.functions.columns import with_decimal_comma
+from fieldtally.functions.columns import QUOTING, with_decimal_comma
 from fieldtally.session import shared_folder
 
 
@@ -21,7 +21,7 @@ MISSING = "NA"  # fixed value: how a missing entry is written
 
 
 def write_csv(frame: DataFrame, path: str, missing: str = MISSING) -> None:
-    frame.write.mode("overwrite").options(header=True, nullValue=missing).csv(path)
+    frame.write.mode("overwrite").options(header=True, nullValue=missing, **QUOTING).csv(path)
 
 
 def write_semicolon_csv(frame: DataFrame, path: str, missing: str = MISSING) -> None:
@@ -30,7 +30,7 @@ def write_semicolon_csv(frame: DataFrame, path: str, missing: str = MISSING) ->
               if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType))}
     localised = frame.withColumns(commas) if commas else frame
     localised.write.mode("overwrite").options(
-        header=True, nullValue=missing, sep=";").csv(path)
+        header=True, nullValue=missing, sep=";", **QUOTING).csv(path)
 
 
 def sheet_folder(sheet: str) -> str:

@@ -18,8 +18,9 @@ class Survey(Protocol):
     spark: SparkSession
 
     def visits(self, by: Sequence[str] = BY_DAY, days: EventDays | None = None,
-               two_years: bool = False) -> DataFrame: ...
-    def sightings(self, days: EventDays | None = None, two_years: bool = False) -> DataFrame: ...
+               two_years: bool = False, before: EventDays | None = None) -> DataFrame: ...
+    def sightings(self, days: EventDays | None = None, two_years: bool = False,
+                  before: EventDays | None = None) -> DataFrame: ...
     def media_counts(self, days: EventDays | None = None) -> DataFrame: ...
     def region_codes(self) -> DataFrame: ...
     def region_dim(self) -> DataFrame: ...
@@ -40,11 +41,12 @@ class FactSurvey:
     dimensions: dict[str, DataFrame]
 
     def visits(self, by: Sequence[str] = BY_DAY, days: EventDays | None = None,
-               two_years: bool = False) -> DataFrame:
-        return observer_tally(_on(self.checklist_facts, days, two_years), by)
+               two_years: bool = False, before: EventDays | None = None) -> DataFrame:
+        return observer_tally(_on(self.checklist_facts, days, two_years, before), by)
 
-    def sightings(self, days: EventDays | None = None, two_years: bool = False) -> DataFrame:
-        return _on(self.sighting_facts, days, two_years)
+    def sightings(self, days: EventDays | None = None, two_years: bool = False,
+                  before: EventDays | None = None) -> DataFrame:
+        return _on(self.sighting_facts, days, two_years, before)
 
     def media_counts(self, days: EventDays | None = None) -> DataFrame:
         return media_tally(days_of(self.media_facts, days))
@@ -68,5 +70,6 @@ class FactSurvey:
         return self.dimensions["priority"]
 
 
-def _on(facts: DataFrame, days: EventDays | None, two_years: bool) -> DataFrame:
-    return tag_period(facts, days) if two_years else days_of(facts, days)
+def _on(facts: DataFrame, days: EventDays | None, two_years: bool,
+        before: EventDays | None) -> DataFrame:
+    return tag_period(facts, days, before) if two_years else days_of(facts, days)

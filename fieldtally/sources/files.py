@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldtally import schemas
-from fieldtally.functions.columns import decimal_comma
+from fieldtally.functions.columns import QUOTING, decimal_comma
 from fieldtally.operators.regions import region_dim
 
 
@@ -26,7 +26,7 @@ def _read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTy
     in `missing` and numbers that do not parse become NULL.
     """
     names = dict(columns or {})
-    raw = spark.read.csv(path, header=True, enforceSchema=False)
+    raw = spark.read.csv(path, header=True, enforceSchema=False, **QUOTING)
     by_name = {c.strip(): c for c in raw.columns}
     absent = [names.get(f.name, f.name) for f in schema if names.get(f.name, f.name) not in by_name]
     if absent:

@@ -46,7 +46,12 @@ def _parse_object(responses: DataFrame, schema: T.StructType) -> Parsed:
     fields = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = responses.withColumn("body", F.from_json(
         "payload", fields, {"columnNameOfCorruptRecord": CORRUPT}))
-    good = F.col("body").isNotNull() & F.col(f"body.{CORRUPT}").isNull() & _answered(responses)
+    # An error answer is an object too, but without the figures.
+    told = F.json_object_keys("payload")
+    whole = F.coalesce(F.forall(F.array(*[F.lit(f.name) for f in schema]),
+                                lambda name: F.array_contains(told, name)), F.lit(False))
+    good = (F.col("body").isNotNull() & F.col(f"body.{CORRUPT}").isNull() & whole
+            & _answered(responses))
     keys = _keys(responses)
     return Parsed(
         parsed.where(good).select(*keys, *[F.col(f"body.{f.name}").alias(f.name) for f in schema]),
@@ -56,7 +61,9 @@ def _parse_object(responses: DataFrame, schema: T.StructType) -> Parsed:
 def _parse_array(responses: DataFrame, schema: T.ArrayType) -> Parsed:
     """One row per entry; a response without entries keeps one row of NULLs."""
     parsed = responses.withColumn("body", F.from_json("payload", schema))
-    good = F.col("body").isNotNull() & _answered(responses)
+    # An object, such as an error answer, would pass as a list of one entry or none.
+    is_list = F.col("payload").rlike(r"^\s*\[")
+    good = F.col("body").isNotNull() & is_list & _answered(responses)
     keys = _keys(responses)
     entries = parsed.where(good).select(*keys, F.explode_outer("body").alias("entry"))
     return Parsed(

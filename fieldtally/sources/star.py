@@ -50,6 +50,11 @@ def _once(build):
     return plan
 
 
+def district_code(name: F.Column) -> F.Column:
+    """A district's part of its code: its whole name, for `-` sets levels apart."""
+    return F.replace(name, F.lit("-"), F.lit("_"))
+
+
 @dataclass(frozen=True)
 class StarSurvey:
     """Survey facts and dimensions over the tables in one folder."""
@@ -75,7 +80,7 @@ class StarSurvey:
         """Place of each observer."""
         country = F.concat(F.lit("R"), "n_regionkey")
         place = F.concat(country, F.lit("-N"), "n_nationkey", F.lit("-"),
-                         F.substring("c_mktsegment", 1, 1))
+                         district_code(F.col("c_mktsegment")))
         return self.table("customer").join(
             self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(
             F.col("c_custkey").alias("observer_id"), place.alias("place"))
@@ -88,16 +93,18 @@ class StarSurvey:
         return days_of(self._orders(), days).join(self._homes(), "observer_id")
 
     def visits(self, by: Sequence[str] = BY_DAY, days: EventDays | None = None,
-               two_years: bool = False) -> DataFrame:
+               two_years: bool = False, before: EventDays | None = None) -> DataFrame:
         """Checklists per observer, counted before the observer's place is looked up.
 
         However many orders one customer has, the join sees one row per `by`.
         """
-        orders = tag_period(self._orders(), days) if two_years else days_of(self._orders(), days)
+        orders = (tag_period(self._orders(), days, before) if two_years
+                  else days_of(self._orders(), days))
         counted = orders.groupBy("observer_id", *by).agg(F.count(F.lit(1)).alias("checklists"))
         return counted.join(self._homes(), "observer_id")
 
-    def sightings(self, days: EventDays | None = None, two_years: bool = False) -> DataFrame:
+    def sightings(self, days: EventDays | None = None, two_years: bool = False,
+                  before: EventDays | None = None) -> DataFrame:
         """One row per species entry of a checklist.
 
         Both fact tables are large, so this is a shuffle join; its hot keys are
@@ -105,7 +112,7 @@ class StarSurvey:
         """
         checklists = self.checklists(None if two_years else days)
         if two_years:
-            checklists = tag_period(checklists, days)
+            checklists = tag_period(checklists, days, before)
         entries = self.table("lineitem").select(
             F.col("l_orderkey").alias("checklist_id"), F.col("l_partkey").alias("p_partkey"))
         names = self.table("part").select(
@@ -144,7 +151,7 @@ class StarSurvey:
                 .join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
                 .select(country.alias("country_code"), F.col("r_name").alias("country"),
                         state.alias("state_code"), F.col("n_name").alias("state"),
-                        F.concat(state, F.lit("-"), F.substring("c_mktsegment", 1, 1))
+                        F.concat(state, F.lit("-"), district_code(F.col("c_mktsegment")))
                         .alias("county_code"), F.col("c_mktsegment").alias("county")))
 
     @_once

@@ -71,3 +71,18 @@ def test_a_day_of_both_years_counts_for_both(spark):
     tagged = {(r["obs_date"].year, r["period"])
               for r in calendar.tag_period(frame, days).collect()}
     assert tagged == {(2023, "cur"), (2022, "cur"), (2022, "prev"), (2021, "prev")}
+
+
+def test_an_earlier_event_may_have_its_own_days(spark):
+    days = calendar.EventDays.span("2023-05-13", "2023-05-13")
+    before = calendar.EventDays.span("2022-05-14", "2022-05-14")
+    facts = spark.sql("SELECT explode(array(DATE'2023-05-13', DATE'2022-05-13', DATE'2022-05-14')) AS obs_date")
+    tagged = calendar.tag_period(facts, days, before).collect()
+    assert sorted((str(r["obs_date"]), r["period"]) for r in tagged) == [
+        ("2022-05-14", "prev"), ("2023-05-13", "cur")]
+
+
+def test_partitions_of_the_largest_facts_stay_in_the_ten_thousands():
+    from fieldtally.session import settings_for
+    number = int(settings_for(100 * 10 ** 12)["spark.sql.adaptive.coalescePartitions.initialPartitionNum"])
+    assert 5_000 <= number <= 20_000

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldtally import schemas
+from fieldtally.functions.columns import QUOTING
 from fieldtally.sinks import files as sink
 from fieldtally.sources import files as source
 from tests import world
@@ -138,3 +139,14 @@ def test_reloading_a_day_keeps_the_others(spark, tmp_path):
 def test_written_table_equals_the_frame(spark):
     frame = spark.createDataFrame([(1, None), (2, "x")], "a bigint, b string")
     assert sorted(map(str, sink.written(frame, "t").collect())) == sorted(map(str, frame.collect()))
+
+
+def test_quotes_and_commas_are_standard_csv(spark, tmp_path):
+    import csv
+    names = ['a "b" c', "d, e", 'f;"g"', "plain"]
+    frame = spark.createDataFrame([(n,) for n in names], "name string").coalesce(1)
+    sink.write_csv(frame, str(tmp_path / "names"))
+    [path] = (tmp_path / "names").glob("part-*.csv")
+    with open(path, newline="") as lines:
+        assert [row[0] for row in csv.reader(lines)] == ["name", *names]
+    assert [r["name"] for r in spark.read.csv(str(path), header=True, **QUOTING).collect()] == names

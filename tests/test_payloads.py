@@ -18,8 +18,16 @@ def test_participation(spark):
         '{"numContributors": 3,', None, '{"numContributors": "many"}', '{}'))
     assert [(r["region"], r["observers"], r["checklists"], r["species"])
             for r in parsed.rows.orderBy("region").collect()] == [
-        ("R0", 3, 5, 8), ("R4", None, None, None)]
-    assert sorted(r["region"] for r in parsed.rejects.collect()) == ["R1", "R2", "R3"]
+        ("R0", 3, 5, 8)]
+    assert sorted(r["region"] for r in parsed.rejects.collect()) == ["R1", "R2", "R3", "R4"]
+
+
+def test_error_answers_are_no_data(spark):
+    error = '{"errors": [{"code": "x"}]}'
+    for parse in (payloads.parse_participation, payloads.parse_species, payloads.parse_notable,
+                  payloads.parse_media):
+        parsed = parse(responses(spark, error, "{}"))
+        assert parsed.rows.count() == 0 and parsed.rejects.count() == 2
 
 
 def test_species_list_keeps_a_row_for_no_species(spark):
