@@ -25,7 +25,7 @@ class Parsed(NamedTuple):
 
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
     """Response files below `region=.../obs_date=...` folders, one document per file."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", False).text(path)
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=False)
     keys = [c for c in files.columns if c != "value"]
     typed = [F.col(c).cast("date" if c == "obs_date" else "string").alias(c) for c in keys]
     return files.select(*typed, F.col("value").alias("payload"))
