@@ -12,11 +12,14 @@ from pyspark.sql import DataFrame
 
 from fieldtally.llm.common import with_columns_of
 
+#: A comment or declaration without an end reaches to the end of the page.
+OPEN_MARK = re.compile(r"<[!?]")
+#: A quote delimits only behind an equals sign. Nothing is tried twice, so a broken tag costs
+#: one look at the rest.
 MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.DOTALL)
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?",
-                       re.IGNORECASE)
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|"""
+    r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>""", re.DOTALL)
+ATTRIBUTE = re.compile(r"""([^\s=/"'>]++)\s*+(?:=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?+""")
 NAME = re.compile(r"[a-z]+")
 RAW = {"script", "style", "textarea", "title", "xmp", "noembed", "noframes", "iframe"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
@@ -55,22 +58,34 @@ SMOOTHING = np.array([0.1, 0.2, 0.4, 0.2, 0.1])
 
 @dataclass
 class Block:
-    """A run of text, the elements that hold it (from the root) and whether it stands aside."""
+    """A run of text, its path of tags from the root, the element around it, its standing."""
 
-    path: tuple[str, ...]
-    holders: tuple[int, ...]
+    path: int
+    element: int
     text: str
     aside: bool
 
 
-def _stands_aside(tag: str, attributes: str, above: list[str]) -> bool:
-    if tag in ASIDE or tag == "header" and not CONTAINER.intersection(above):
+@dataclass
+class Page:
+    """The blocks in order, and the elements: each one's tag and the lower number of its holder.
+
+    Element 0 is the whole page. Holders instead of lists of all elements above keep a page
+    of any depth in memory that follows its length.
+    """
+
+    blocks: list[Block]
+    tags: list[str]
+    holder: list[int]
+
+
+def _stands_aside(tag: str, attributes: str, in_container: bool) -> bool:
+    if tag in ASIDE or tag == "header" and not in_container:
         return True
     if not attributes:
         return False
     for name, value in ATTRIBUTE.findall(attributes):
-        value = value.strip("\"'").lower()
-        name = name.lower()
+        name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return True
         if name == "role" and value in ASIDE_ROLES:
@@ -81,43 +96,50 @@ def _stands_aside(tag: str, attributes: str, above: list[str]) -> bool:
     return False
 
 
-def blocks_of(page: str) -> list[Block]:
-    """The page's blocks in order. Unclosed and crossed tags are mended as browsers do."""
-    tags: list[str] = []
-    numbers: list[int] = []
-    aside: list[bool] = []
-    found: list[Block] = []
+def page_of(page: str) -> Page:
+    """The page's blocks and elements. Unclosed and crossed tags are mended as browsers do."""
+    found = Page([], [""], [0])
+    paths: dict[tuple[int, str], int] = {}
+    opened: list[str] = []  # the open tags, and for each its element, path and standing
+    places: list[tuple[int, int, bool]] = [(0, 0, False)]
+    times: dict = defaultdict(int)
     held: list[str] = []
-    place: tuple = ((), (), False)
-    count = 0
+    place = places[0]
 
     def flush() -> None:
         if held:
             text = " ".join("".join(held).split())
             if text:
-                found.append(Block(place[0], place[1], text, place[2]))
+                found.blocks.append(Block(place[1], place[0], text, place[2]))
             held.clear()
 
     def put(text: str) -> None:
         nonlocal place
         if text:
             if not held or len(held) == 1 and not held[0].strip():
-                place = (tuple(t for t in tags), tuple(numbers), bool(aside and aside[-1]))
-            elif place[2] != bool(aside and aside[-1]):
+                place = places[-1]
+            elif place[2] != places[-1][2]:
                 flush()
-                place = (tuple(tags), tuple(numbers), bool(aside and aside[-1]))
+                place = places[-1]
             held.append(text)
 
+    def last(tag: str) -> int:
+        return next(d for d in range(len(opened) - 1, -1, -1) if opened[d] == tag)
+
     def close(depth: int) -> None:
-        if any(t in BLOCK for t in tags[depth:]):
+        if any(t in BLOCK for t in opened[depth:]):
             flush()
-        del tags[depth:], numbers[depth:], aside[depth:]
+        for tag in opened[depth:]:
+            times[tag] -= 1
+        del opened[depth:], places[depth + 1:]
 
     at = 0
     lower = None
+    end_of_tags = page.rfind(">")
     while True:
-        match = MARKUP.search(page, at)
-        text = page[at:match.start() if match else len(page)]
+        match = MARKUP.search(page, at) if at <= end_of_tags else None
+        unended = OPEN_MARK.search(page, at) if match is None else match
+        text = page[at:unended.start() if unended else len(page)]
         if text:
             put(html.unescape(text) if "&" in text else text)
         if not match:
@@ -127,22 +149,23 @@ def blocks_of(page: str) -> list[Block]:
         if not tag:
             continue
         if match[1]:
-            if tag in tags:
-                depth = len(tags) - 1 - tags[::-1].index(tag)
-                if tag in BLOCK or not any(t in BLOCK for t in tags[depth:]):
+            if times[tag]:
+                depth = last(tag)
+                if tag in BLOCK or not any(t in BLOCK for t in opened[depth:]):
                     close(depth)
             elif tag in ("br", "p"):
                 put("\n")
             continue
-        if tag in ENDS_PARAGRAPH and "p" in tags:
-            close(len(tags) - 1 - tags[::-1].index("p"))
+        if tag in ENDS_PARAGRAPH and times["p"]:
+            close(last("p"))
         if tag in CLOSES:
             closed, within = CLOSES[tag]
-            for depth in range(len(tags) - 1, -1, -1):
-                if tags[depth] in within:
-                    break
-                if tags[depth] in closed:
-                    close(depth)
+            if any(times[t] for t in closed):
+                for depth in range(len(opened) - 1, -1, -1):
+                    if opened[depth] in within:
+                        break
+                    if opened[depth] in closed:
+                        close(depth)
         if tag in VOID:
             if tag == "hr":
                 flush()
@@ -153,9 +176,8 @@ def blocks_of(page: str) -> list[Block]:
             flush()
         if match[3].endswith("/") and tag in ("svg", "math"):
             continue
-        count += 1
         if tag in RAW:
-            lower = page.lower() if lower is None or len(lower) != len(page) else lower
+            lower = page.lower() if lower is None else lower
             if len(lower) == len(page):
                 end = lower.find("</" + tag, at)
             else:  # lower case of another length moves places
@@ -164,14 +186,19 @@ def blocks_of(page: str) -> list[Block]:
             end = len(page) if end < 0 else end
             at = page.find(">", end) + 1 or len(page)
             continue
-        tags.append(tag)
-        numbers.append(count)
-        aside.append(bool(aside and aside[-1]) or _stands_aside(tag, match[3], tags[:-1]))
+        element, path, aside = places[-1]
+        aside = aside or _stands_aside(tag, match[3], bool(times["article"] or times["main"]))
+        path = paths.setdefault((path, tag), len(paths) + 1)
+        places.append((len(found.tags), path, aside))
+        found.tags.append(tag)
+        found.holder.append(element)
+        opened.append(tag)
+        times[tag] += 1
     flush()
     return found
 
 
-def content_of(blocks: list[Block]) -> list[Block]:
+def content_of(page: Page) -> list[Block]:
     """The blocks of the main text.
 
     For each path of tags from root to leaf, letters and marks are added up over the
@@ -182,7 +209,7 @@ def content_of(blocks: list[Block]) -> list[Block]:
     blocks belong to the text, headings and short ones too, but for those that stand
     aside.
     """
-    inner = [b for b in blocks if not b.aside]
+    inner = [b for b in page.blocks if not b.aside]
     if not inner:
         return []
     letters: dict = defaultdict(int)
@@ -201,34 +228,29 @@ def content_of(blocks: list[Block]) -> list[Block]:
         [1 + marks[b.path] / times[b.path] for b in inner])
     weight = np.log1p(fused)
     least = weight.mean() - weight.std() / 2 - 1e-9
-    chosen = [b for b, w in zip(inner, weight.tolist(), strict=True) if w >= least]
-    size: dict[int, int] = defaultdict(int)
-    container: dict[int, int] = defaultdict(int)
-    for b in chosen:
-        n = len(b.text)
-        for tag, number in zip(b.path, b.holders, strict=True):
-            size[number] += n
-            if tag in CONTAINER:
-                container[number] += n
-    total = sum(len(b.text) for b in chosen)
+    size = [0] * len(page.tags)
+    for b, w in zip(inner, weight.tolist(), strict=True):
+        if w >= least:
+            size[b.element] += len(b.text)
+    for element in range(len(size) - 1, 0, -1):
+        size[page.holder[element]] += size[element]
+    container = {e: n for e, n in enumerate(size) if n and page.tags[e] in CONTAINER}
     if container:
         # An article within another is part of it, so the outermost of the largest counts.
         most = max(container.values())
-        root = min(k for k, n in container.items() if n == most)
-        return [b for b in inner if root in b.holders]
-    # The deepest element that holds nearly all content; without one, the whole page.
-    holding = [k for k, n in size.items() if n >= 0.9 * total]
-    if not holding:
-        return inner
-    path = next(b for b in chosen if max(holding) in b.holders)
-    outer = [k for k, t in zip(path.holders, path.path, strict=True)
-             if k in holding and t in BLOCK and t != "p"]
-    root = outer[-1] if outer else None
-    return [b for b in inner if root is None or root in b.holders]
+        root = min(e for e, n in container.items() if n == most)
+    else:
+        # The deepest element that holds nearly all content; without one, the whole page.
+        root = max((e for e, n in enumerate(size) if n >= 0.9 * size[0]
+                    and page.tags[e] in BLOCK and page.tags[e] != "p"), default=0)
+    within = [False] * len(size)
+    for element in range(root, len(size)):
+        within[element] = element == root or within[page.holder[element]]
+    return [b for b in inner if within[b.element]]
 
 
 def main_text(page: str | None) -> str:
-    return "\n\n".join(b.text for b in content_of(blocks_of(page or "")))
+    return "\n\n".join(b.text for b in content_of(page_of(page or "")))
 
 
 def extract(pages: DataFrame) -> DataFrame:

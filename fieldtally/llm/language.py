@@ -47,7 +47,9 @@ def vocabulary(path: str) -> list[str]:
 
 
 def words_of(text: str | None) -> list[str]:
-    return LETTERS.findall((text or "").lower())
+    """Runs of letters; fractions and raised digits, which \\w takes too, are no words alone."""
+    return [w for w in LETTERS.findall((text or "").lower())
+            if w.isalpha() or any(map(str.isalpha, w))]
 
 
 def _codes(stretches: Sequence[str], length: int) -> np.ndarray:

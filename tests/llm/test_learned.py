@@ -125,6 +125,22 @@ def test_broken_pages(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<div style='overflow: hidden' data-id=menu><p>One, two.</p></div>", "One, two."),
+    ("<p title=it's>one</p><p>it's two</p>", "one\n\nit's two"),
+    ("<a " * 100_000, ("<a " * 100_000).strip()),
+    ("<div>" * 50_000 + "deep", "deep"),
+    ("<p>a</p> b <!-- no end", "a\n\nb"),
+])
+def test_quotes_depth_and_missing_ends(page, text):
+    assert html.main_text(page) == text
+
+
+def test_fractions_and_raised_digits_are_no_letters():
+    assert language.words_of("½ ² Ⅷ 12") == []
+    assert language.words_of("Ab c½") == ["ab", "c½"]
+
+
 def test_long_and_odd_pages(spark):
     long = "<article>" + "<p>Words, words.</p>" * 20000 + "</article>"
     rows = [(1, "u", long), (None, None, None), (2, "u", "x"), (2, "u", "x")]
