@@ -87,7 +87,13 @@ def decimal_comma(text: Column) -> Column:
 
 
 def with_decimal_comma(number: Column) -> Column:
-    return F.regexp_replace(number.cast("string"), r"\.", ",")
+    """Text with a decimal comma, and without an exponent where 38 digits hold the number."""
+    text = number.cast("string")
+    held = F.when(F.abs(number) < 1, text.try_cast("decimal(38,36)").cast("string")).otherwise(
+        text.try_cast("decimal(38,10)").cast("string"))
+    plain = F.regexp_replace(held, r"\.?0+$", "")
+    exact = text.contains("E") & (plain.try_cast("double") == number.cast("double"))
+    return F.regexp_replace(F.when(exact, plain).otherwise(text), r"\.", ",")
 
 
 def thousands(number: Column) -> Column:

@@ -56,17 +56,23 @@ def headline_totals(counts: DataFrame, dim: DataFrame) -> DataFrame:
         wording.checklists(F.col("checklists")).alias("checklists_statement"))
 
 
-def headline_subregions(counts: DataFrame) -> DataFrame:
-    """Active sub-regions of each region and what they are called."""
+def headline_subregions(counts: DataFrame, regions: DataFrame | None = None) -> DataFrame:
+    """Active sub-regions of each region and what they are called.
+
+    With `regions`, one row for each of them, also where no sub-region is active.
+    """
     code = F.col("region")
     active = counts.where(any_positive([F.col(c) for c in ("observers", "checklists", "species")]))
-    return (active.select(parent_code(code).alias("parent"), code,
-                          wording.subregion_kind(code).alias("which_reg"))
-            .where(F.col("parent").isNotNull())
-            .groupBy(F.col("parent").alias("region"), "which_reg")
-            .agg(F.count_distinct(code).alias("no_reg"))
-            .select("region", "no_reg", "which_reg",
-                    wording.subregions(F.col("no_reg"), F.col("which_reg")).alias("statement")))
+    found = (active.select(parent_code(code).alias("parent"), code)
+             .where(F.col("parent").isNotNull())
+             .groupBy(F.col("parent").alias("region"))
+             .agg(F.count_distinct(code).alias("no_reg")))
+    if regions is not None:
+        found = regions.select("region").distinct().join(found, "region", "left").select(
+            "region", F.coalesce("no_reg", F.lit(0)).alias("no_reg"))
+    kind = wording.subregion_kind(F.concat("region", F.lit("-0")))  # of a code one level below
+    return found.withColumn("which_reg", kind).withColumn(
+        "statement", wording.subregions(F.col("no_reg"), F.col("which_reg")))
 
 
 def headline_media(media: DataFrame) -> DataFrame:

@@ -102,9 +102,13 @@ def final_summary(survey: Survey, days: EventDays, patterns: Sequence[str] | Non
 
 def event_report(survey: Survey, days: EventDays, requested: Sequence[str], event_type: str,
                  base_url: str) -> dict[str, DataFrame]:
-    """Report on each requested region: lists, participation by sub-region and headlines."""
+    """Report on each requested region: lists, participation by sub-region and headlines.
+
+    Codes that no list knows are on a sheet of their own and on no other.
+    """
     dim, taxonomy = survey.region_dim(), survey.taxonomy()
-    asked = region_frame(survey.spark, requested)
+    wanted = region_frame(survey.spark, requested)
+    asked = wanted.join(dim.select(F.col("code").alias("region")), "region", "left_semi")
     expanded = regions.expand_regions(asked, dim).select(F.col("code").alias("region")).distinct()
     facts = reduce_facts(survey, days, tally.BY_DAY)
     listed = event.species_list(facts.seen, expanded, days, dim, taxonomy)
@@ -124,11 +128,12 @@ def event_report(survey: Survey, days: EventDays, requested: Sequence[str], even
         "Participation": summary,
         "Observers": report.headline_observers(daily, days, dim),
         "Totals": report.headline_totals(whole, dim),
-        "Sub-regions": report.headline_subregions(whole).join(asked, "region", "left_semi"),
+        "Sub-regions": report.headline_subregions(whole, asked),
         "Notable": report.headline_notable(taxa.top_priority_by_region(notable), asked),
         "Media": report.headline_media(tally.media_summary(survey.media_counts(days), asked)),
         "Links": report.media_links(spans, base_url),
         "Publication": report.publication_notes(spans, [event_type]),
+        "Rejected regions": regions.unknown_regions(wanted, dim),
     }
     if not days.is_single:
         sheets["Checklists by sub-region"] = report.report_checklists(summary)

@@ -352,10 +352,12 @@ SELECT region, region_name, species, checklists,
        '**' || format('{:,}', checklists) || ' checklists**' AS checklists_statement FROM whole""",
     "headline_subregions": TABLES + _WHOLE + """
 , children AS (
-  SELECT u.code AS region, count(*) AS no_reg,
-         CASE WHEN u.level = 0 THEN 'states/union territories' ELSE 'districts' END AS which_reg
-  FROM dim u JOIN whole w ON starts_with(w.region, u.code || '-') AND w.level = u.level + 1
-  WHERE observers > 0 OR checklists > 0 OR species > 0 GROUP BY u.code, u.level)
+  SELECT u.code AS region,
+         count(*) FILTER (observers > 0 OR checklists > 0 OR species > 0) AS no_reg,
+         CASE u.level WHEN 0 THEN 'states/union territories' WHEN 1 THEN 'districts'
+              ELSE 'UNKNOWN REGION' END AS which_reg
+  FROM dim u LEFT JOIN whole w ON starts_with(w.region, u.code || '-') AND w.level = u.level + 1
+  GROUP BY u.code, u.level)
 SELECT *, '**' || no_reg || ' ' || which_reg || '**' AS statement FROM children""",
     "headline_media": TABLES + ", m AS (" + _MEDIA + """)
 SELECT *, '**' || format('{:,}', photo) || ' photos** and **' || format('{:,}', audio)

@@ -354,7 +354,7 @@ def headline_totals(s: StarSurvey) -> DataFrame:
 
 @_query
 def headline_subregions(s: StarSurvey) -> DataFrame:
-    return report.headline_subregions(_whole(s))
+    return report.headline_subregions(_whole(s), _regions(s))
 
 
 @_query

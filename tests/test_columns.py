@@ -74,6 +74,9 @@ def test_text_helpers(spark):
     assert one(spark, "**12 districts**", c.letters_only) == "districts"
     assert one(spark, 1234567, c.thousands, "bigint") == "1,234,567"
     assert one(spark, 1.5, c.with_decimal_comma, "double") == "1,5"
+    assert one(spark, 12345678.5, c.with_decimal_comma, "double") == "12345678,5"
+    assert one(spark, 0.0001, c.with_decimal_comma, "double") == "0,0001"
+    assert one(spark, -2.5e-9, c.with_decimal_comma, "double") == "-0,0000000025"
     assert one(spark, dt.date(2024, 2, 6), c.slashed_date, "date") == "2024/02/06"
 
 

@@ -74,13 +74,15 @@ def test_picked_regions_only(spark):
 
 def test_report_covers_requested_regions_only(spark):
     survey = world.survey_of(spark, *world.make(4))
-    sheets = jobs.event_report(survey, world.DAYS, ["IN", "BT-2"], "GBBC", "https://x.example/")
+    sheets = jobs.event_report(
+        survey, world.DAYS, ["IN", "BT-2", "ZZ"], "GBBC", "https://x.example/")
+    assert [r["region"] for r in sheets["Rejected regions"].collect()] == ["ZZ"]
     expanded = {"IN", "IN-KL", "IN-GA", "BT-2", "BT-2-Y"}
     for name in ("Species list", "Participation", "Observers", "Totals"):
         assert {r["region"] for r in sheets[name].collect()} == expanded
     for name in ("Notable", "Media", "Links", "Publication"):
         assert {r["region"] for r in sheets[name].collect()} == {"IN", "BT-2"}
-    assert {r["region"] for r in sheets["Sub-regions"].collect()} <= {"IN", "BT-2"}
+    assert {r["region"] for r in sheets["Sub-regions"].collect()} == {"IN", "BT-2"}
     assert {r["parent"] for r in sheets["Checklists by sub-region"].collect()} == {
         "IN", "BT", "BT-2"}
 
