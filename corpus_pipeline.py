@@ -48,7 +48,11 @@ def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near fingerprints: the one with its smallest id."""
+    """One document of each component of near fingerprints: the one with its smallest id.
+
+    Rows of different texts that share that id, or rows without an id where no other is
+    in their component, cannot be told apart by it and all stay.
+    """
     found = simhash.simhash_dedup(docs, shingle=4, most_bits=4)
     gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         _id_key().alias("__key"))
