@@ -251,7 +251,7 @@ JOIN dim ON contains(code, u.pattern)""",
 SELECT DISTINCT state_code || '-' || replace(s_name, '-', '_') AS region
 FROM supplier JOIN state_of ON s_nationkey = n_nationkey
 WHERE state_code || '-' || replace(s_name, '-', '_') NOT IN (SELECT code FROM dim)""",
-    "region_names": TABLES + "SELECT code AS region, name AS region_name FROM dim WHERE level < 2",
+    "region_names": TABLES + "SELECT code AS region, name AS region_name FROM dim",
     "region_select": TABLES + """
 SELECT code, name, CAST(level AS BIGINT) AS level FROM dim
 WHERE code IN ('R1', 'R0-N5', 'R2-N2-HOUSEHOLD') OR code LIKE 'R1-%' OR code LIKE 'R0-N5-%'""",

@@ -99,7 +99,7 @@ def region_rejects(s: StarSurvey) -> DataFrame:
 
 @_query
 def region_names(s: StarSurvey) -> DataFrame:
-    return regions.region_names(_regions(s, COUNTRY), s.region_dim())
+    return regions.region_names(_regions(s), s.region_dim())
 
 
 @_query
