@@ -49,7 +49,7 @@ def live_summary(survey: Survey, days: EventDays, patterns: Sequence[str],
     group = survey.country_group()
     facts = reduce_facts(survey, days, ())
     listed = tally.species_by_region(facts.seen, places)
-    notable = tally.notable_sightings(survey.sightings(days)).join(
+    notable = tally.notable_sightings(survey.notable(days)).join(
         places, "region", "left_semi")
     return {
         "States": rollup.participation_states(

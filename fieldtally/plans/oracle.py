@@ -76,6 +76,7 @@ _EVENT_BEFORE = "obs_date BETWEEN DATE '1995-09-16' AND DATE '1995-09-19'"
 _YEAR = "obs_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'"
 _LEAP_MONTH = "obs_date BETWEEN DATE '1996-02-01' AND DATE '1996-02-29'"
 _EARLIER_EVENT = "obs_date BETWEEN DATE '1995-02-24' AND DATE '1995-03-01'"
+_ONE_DAY = "obs_date = DATE '1996-09-17'"
 _YEAR_BEFORE = "obs_date BETWEEN DATE '1995-01-01' AND DATE '1995-12-31'"
 
 
@@ -182,6 +183,41 @@ def _overall(countries: str, condition: str = "TRUE") -> str:
             f"FROM {countries}")
 
 
+def _final_workbook(now: str, before: str) -> str:
+    change = ", ".join(map(_change, ("checklists", "species", "regions")))
+    return (TABLES + _states(now, "_now") + _states(before, "_before")
+            + ", total_now AS (" + _overall("countries_now", now) + "), total_before AS ("
+            + _overall("countries_before", before) + f""")
+SELECT 'States' AS sheet, * FROM states_now
+UNION ALL BY NAME SELECT 'Countries' AS sheet, * FROM countries_now
+UNION ALL BY NAME SELECT 'Countries YoY' AS sheet, a.region_name, {change}
+  FROM countries_now a JOIN countries_before b ON a.region_name = b.region_name
+UNION ALL BY NAME SELECT 'Overall' AS sheet, * FROM total_now
+UNION ALL BY NAME SELECT 'Overall YoY' AS sheet, {change} FROM total_now a CROSS JOIN total_before b
+UNION ALL BY NAME SELECT DISTINCT 'Species list' AS sheet, english_name, sort
+  FROM sight JOIN taxonomy ON english_name = species WHERE {now}""")
+
+
+def _on_one_day(places: str) -> str:
+    """Figures and species lists of some places on one day."""
+    return f"""
+, places AS ({places})
+, day3 AS (SELECT * FROM sight3 WHERE {_ONE_DAY})
+, figures AS (
+  SELECT region, region_name, coalesce(observers, 0) AS observers,
+         coalesce(checklists, 0) AS checklists, coalesce(species, 0) AS species
+  FROM places
+  LEFT JOIN (SELECT region, count(DISTINCT observer_id) AS observers,
+                    count(DISTINCT checklist_id) AS checklists FROM chk3 WHERE {_ONE_DAY}
+             GROUP BY 1) USING (region)
+  LEFT JOIN (SELECT region, count(DISTINCT species) AS species FROM day3 GROUP BY 1) USING (region))
+, listed AS (
+  SELECT region, region_name, species AS english_name, sort FROM places
+  LEFT JOIN (SELECT DISTINCT region, species FROM day3) USING (region)
+  LEFT JOIN taxonomy ON english_name = species)
+"""
+
+
 _MEDIA = """
 SELECT code AS region, count(CASE WHEN event_type = 'view' THEN 1 END) AS photo,
        count(CASE WHEN event_type = 'click' THEN 1 END) AS audio,
@@ -278,12 +314,11 @@ SELECT CAST(d.obs_date AS VARCHAR) AS obs_date, code AS region, name AS region_n
 FROM dim CROSS JOIN record_days d
 LEFT JOIN (SELECT DISTINCT region, obs_date, species FROM sight3) s
   ON s.region = code AND s.obs_date = d.obs_date
-LEFT JOIN taxonomy ON english_name = species
-WHERE level < 2""",
+LEFT JOIN taxonomy ON english_name = species""",
     "spec_list_multi": _spec_list_multi(),
     "part_summ_single": TABLES + _daily_counts("record_days") + """
 SELECT CAST(obs_date AS VARCHAR) AS obs_date, region, region_name, observers, checklists, species
-FROM daily WHERE level < 2""",
+FROM daily""",
     "part_summ_multi": TABLES + _matrix(_EVENT_DAYS)
     + f"SELECT region, region_name, total, {_day_list(_EVENT_DAYS)} FROM matrix",
     "part_summ_all_days": TABLES + _matrix(_EVENT_DAYS) + "SELECT * FROM matrix",
@@ -388,7 +423,7 @@ SELECT *, CASE WHEN event_type = 'GBBC'
 SELECT region, CAST(obs_date AS VARCHAR) AS obs_date, observers, checklists, species
 FROM daily WHERE checklists > 0""",
     "payload_species": TABLES + """
-SELECT DISTINCT state_code AS region, CAST(obs_date AS VARCHAR) AS obs_date, species FROM sight""",
+SELECT DISTINCT region, CAST(obs_date AS VARCHAR) AS obs_date, species FROM sight3""",
     "payload_notable": TABLES + """
 SELECT DISTINCT county_code AS region, species AS common_name, 'S' || checklist_id AS checklist_id
 FROM sight WHERE notable""",
@@ -406,6 +441,37 @@ FROM props_of GROUP BY event_type""",
     "decimal_comma_file": TABLES + "SELECT english_name, sort + 0.5 AS sort FROM taxonomy",
     "semicolon_file": TABLES + _states() + "SELECT * FROM covered",
     "workbook_files": TABLES + _states() + """
-SELECT 'States' AS sheet, region_name, checklists, species FROM states
-UNION ALL SELECT 'Countries', region_name, checklists, species FROM countries""",
+SELECT 'States' AS sheet, * FROM states
+UNION ALL BY NAME SELECT 'Countries' AS sheet, * FROM countries""",
+    "final_workbook": _final_workbook(_LEAP_MONTH, _EARLIER_EVENT),
+    "live_sheets": TABLES + _states(_ONE_DAY) + _on_one_day("""
+SELECT code AS region, name AS region_name FROM dim WHERE code IN ('R1', 'R0-N5',
+'R2-N2-HOUSEHOLD') OR code LIKE 'R1-%' OR code LIKE 'R0-N5-%'""") + """
+SELECT 'States' AS sheet, * FROM figures
+UNION ALL BY NAME SELECT 'Countries' AS sheet, region_name, checklists, species FROM countries
+UNION ALL BY NAME SELECT 'Species per region' AS sheet, region, species AS no_sp FROM figures
+UNION ALL BY NAME SELECT DISTINCT 'Species list' AS sheet, english_name, sort FROM listed
+  WHERE english_name IS NOT NULL
+UNION ALL BY NAME SELECT 'Notable species' AS sheet, species AS common_name,
+  count(DISTINCT checklist_id) AS no_lists, count(DISTINCT region) AS no_regions,
+  min(region) AS region FROM day3 JOIN places USING (region) WHERE notable GROUP BY species""",
+    "report_sheets_one_day": TABLES + _on_one_day("""
+SELECT DISTINCT d.code AS region, d.name AS region_name
+FROM dim u JOIN dim d ON d.code = u.code OR starts_with(d.code, u.code || '-')
+WHERE u.code IN ('R0', 'R1-N6') AND NOT (u.level = 0 AND d.level = 2)""") + """
+SELECT 'Species list' AS sheet, * FROM listed
+UNION ALL BY NAME SELECT 'Participation' AS sheet, * FROM figures
+UNION ALL BY NAME SELECT 'Observers' AS sheet, region, region_name, 1::BIGINT AS no_days,
+  observers AS min_observers, observers AS max_observers, 1::BIGINT AS max_day,
+  1::BIGINT AS days_at_max, '**' || format('{:,}', observers) || ' birdwatchers** from '
+  || region_name || ' came together' AS statement FROM figures
+UNION ALL BY NAME SELECT 'Totals' AS sheet, region, region_name, species, checklists,
+  '**' || format('{:,}', species) || ' species**' AS species_statement,
+  '**' || format('{:,}', checklists) || ' checklists**' AS checklists_statement FROM figures
+UNION ALL BY NAME SELECT 'Sub-regions' AS sheet, *, '**' || no_reg || ' ' || which_reg || '**'
+  AS statement FROM (
+    SELECT u.region, u.which_reg, count(*) FILTER (f.checklists > 0) AS no_reg
+    FROM (VALUES ('R0', 'states/union territories'), ('R1-N6', 'districts')) u(region, which_reg)
+    JOIN figures f ON starts_with(f.region, u.region || '-') GROUP BY 1, 2)
+UNION ALL BY NAME SELECT 'Rejected regions' AS sheet, 'ZZ' AS region""",
 }

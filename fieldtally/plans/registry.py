@@ -7,7 +7,8 @@ about a year and the one before.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,19 +17,26 @@ from pyspark.sql import types as T
 from fieldtally.functions.columns import COUNTRY, QUOTING, STATE, decimal_comma, slashed_date
 from fieldtally.operators import calendar, event, regions, report, rollup, tally, taxa
 from fieldtally.operators.calendar import EventDays
+from fieldtally.plans import jobs
 from fieldtally.plans.jobs import ReducedFacts, reduce_facts
+from fieldtally.plans.prepare import open_facts, prepare_facts
 from fieldtally.session import shared_folder
 from fieldtally.sinks import files as sink
 from fieldtally.sources import files as source
 from fieldtally.sources import payloads
+from fieldtally.sources.facts import FactSurvey
 from fieldtally.sources.star import StarSurvey, district_code
 
 EVENT = EventDays.span("1996-09-16", "1996-09-19")
 LEAP_MONTH = EventDays.span("1996-02-01", "1996-02-29")
 EARLIER_EVENT = EventDays.span("1995-02-24", "1995-03-01")
+ONE_DAY = EventDays.of("1996-09-17")
 YEAR = EventDays.span("1996-01-01", "1996-12-31")
 PATTERNS = ("R1", "R0-N5", "R2-N2-HOUSEHOLD")
 FREE_PATTERNS = ("R1-N1", "N2-H")
+REQUESTED = ("R0", "R1-N6", "ZZ")
+REPORTED = ("Species list", "Participation", "Observers", "Totals", "Sub-regions",
+            "Rejected regions")
 CATALOGUE = "https://catalogue.example/search"
 EVENT_TYPES = ("GBBC", "OTHER")
 PERIOD = ("period",)
@@ -136,7 +144,7 @@ def species_by_region_day(s: StarSurvey) -> DataFrame:
 
 @_query
 def notable_sightings(s: StarSurvey) -> DataFrame:
-    return tally.notable_sightings(s.sightings())
+    return tally.notable_sightings(s.notable())
 
 
 @_query
@@ -149,8 +157,8 @@ def media_summary(s: StarSurvey) -> DataFrame:
 @_query
 def spec_list_single(s: StarSurvey) -> DataFrame:
     return event.species_list_by_day(
-        s.sightings(), _regions(s, COUNTRY, STATE), calendar.record_span(s.dates()),
-        s.region_dim(), s.taxonomy(), (COUNTRY, STATE))
+        s.sightings(), _regions(s), calendar.record_span(s.dates()), s.region_dim(),
+        s.taxonomy())
 
 
 @_query
@@ -161,8 +169,7 @@ def spec_list_multi(s: StarSurvey) -> DataFrame:
 @_query
 def part_summ_single(s: StarSurvey) -> DataFrame:
     return event.participation_by_day(
-        s.visits(), s.sightings(), _regions(s, COUNTRY, STATE), calendar.record_span(s.dates()),
-        s.region_dim(), (COUNTRY, STATE))
+        s.visits(), s.sightings(), _regions(s), calendar.record_span(s.dates()), s.region_dim())
 
 
 def _daily(s: StarSurvey, days: EventDays) -> DataFrame:
@@ -237,7 +244,7 @@ def combined_species(s: StarSurvey) -> DataFrame:
 
 @_query
 def notable_rarity(s: StarSurvey) -> DataFrame:
-    return taxa.notable_rarity(tally.notable_sightings(s.sightings(), (STATE,)))
+    return taxa.notable_rarity(tally.notable_sightings(s.notable(), (STATE,)))
 
 
 @_query
@@ -410,8 +417,8 @@ def payload_participation(s: StarSurvey) -> DataFrame:
 
 @_query
 def payload_species(s: StarSurvey) -> DataFrame:
-    """One response per place and day: at most one entry per known species."""
-    responses = tally.species_seen(s.sightings(), levels=(STATE,)).groupBy(
+    """One response per region and day: at most one entry per known species."""
+    responses = tally.species_seen(s.sightings()).groupBy(
         "region", "obs_date").agg(F.to_json(F.collect_set(F.struct(
             F.col("species").alias("comName")))).alias("payload"))
     return payloads.parse_species(responses).rows
@@ -420,7 +427,7 @@ def payload_species(s: StarSurvey) -> DataFrame:
 @_query
 def payload_notable(s: StarSurvey) -> DataFrame:
     """One response per checklist: at most one entry per known species."""
-    flagged = s.sightings().where("is_notable").groupBy("place", "checklist_id").agg(
+    flagged = s.notable().groupBy("place", "checklist_id").agg(
         F.collect_set("species").alias("names"))
     entries = F.transform("names", lambda name: F.struct(
         name.alias("comName"), F.concat(F.lit("S"), "checklist_id").alias("subId")))
@@ -446,6 +453,24 @@ def payload_props(s: StarSurvey) -> DataFrame:
 
 # Files ------------------------------------------------------------------------
 
+def _read_back(spark: SparkSession, sheets: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The sheets as a workbook's files give them again, in the types they had."""
+    places = sink.write_workbook(sheets, shared_folder(spark, "workbook"))
+    read = {}
+    for name, frame in sheets.items():
+        text = T.StructType([T.StructField(c, T.StringType()) for c in frame.columns])
+        raw = spark.read.schema(text).csv(places[name], header=True, nullValue=sink.MISSING, **QUOTING)
+        read[name] = raw.select([F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
+                                 for f in frame.schema])
+    return read
+
+
+def _stacked(sheets: Mapping[str, DataFrame]) -> DataFrame:
+    """All rows of all sheets with the sheet's name; columns that a sheet lacks are missing."""
+    named = [frame.withColumn("sheet", F.lit(name)) for name, frame in sheets.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
+
+
 @_query
 def csv_file(s: StarSurvey) -> DataFrame:
     path = shared_folder(s.spark, "csv")
@@ -477,10 +502,33 @@ def workbook_files(s: StarSurvey) -> DataFrame:
     facts = reduce_facts(s, None, ())
     states = rollup.participation_states(
         facts.visits, facts.seen, _regions(s, STATE), s.region_dim())
-    sheets = sink.write_workbook({"States": states, "Countries": _countries(s, facts)},
-                                 shared_folder(s.spark, "workbook"))
-    read = {name: s.spark.read.csv(path, header=True, **QUOTING) for name, path in sheets.items()}
-    return read["States"].select(F.lit("States").alias("sheet"), "region_name", *[
-        F.col(c).try_cast("bigint").alias(c) for c in ("checklists", "species")]).unionByName(
-        read["Countries"].select(F.lit("Countries").alias("sheet"), "region_name", *[
-            F.col(c).try_cast("bigint").alias(c) for c in ("checklists", "species")]))
+    return _stacked(_read_back(s.spark, {"States": states, "Countries": _countries(s, facts)}))
+
+# Whole jobs over facts by day --------------------------------------------------
+
+def _prepared(s: StarSurvey, *events: EventDays) -> FactSurvey:
+    """The facts of these days in the layout that events read."""
+    folder = shared_folder(s.spark, "facts")
+    for days in events:
+        prepare_facts(s, folder, days)
+    return open_facts(s.spark, folder)
+
+
+@_query
+def final_workbook(s: StarSurvey) -> DataFrame:
+    """All sheets of a final summary against an earlier event, as their files hold them."""
+    facts = _prepared(s, LEAP_MONTH, EARLIER_EVENT)
+    return _stacked(_read_back(s.spark, jobs.final_summary(facts, LEAP_MONTH, before=EARLIER_EVENT)))
+
+
+@_query
+def live_sheets(s: StarSurvey) -> DataFrame:
+    """All sheets of a live summary of one day and picked regions of every level."""
+    return _stacked(jobs.live_summary(_prepared(s, ONE_DAY), ONE_DAY, PATTERNS, districts=True))
+
+
+@_query
+def report_sheets_one_day(s: StarSurvey) -> DataFrame:
+    """A report on an event of one day, with a region that no list knows."""
+    sheets = jobs.event_report(_prepared(s, ONE_DAY), ONE_DAY, REQUESTED, EVENT_TYPES[0], CATALOGUE)
+    return _stacked({name: sheets[name] for name in REPORTED})

@@ -21,6 +21,7 @@ class Survey(Protocol):
                two_years: bool = False, before: EventDays | None = None) -> DataFrame: ...
     def sightings(self, days: EventDays | None = None, two_years: bool = False,
                   before: EventDays | None = None) -> DataFrame: ...
+    def notable(self, days: EventDays | None = None) -> DataFrame: ...
     def media_counts(self, days: EventDays | None = None) -> DataFrame: ...
     def region_codes(self) -> DataFrame: ...
     def region_dim(self) -> DataFrame: ...
@@ -48,6 +49,9 @@ class FactSurvey:
                   before: EventDays | None = None) -> DataFrame:
         return _on(self.sighting_facts, days, two_years, before)
 
+    def notable(self, days: EventDays | None = None) -> DataFrame:
+        return self.sightings(days).where("is_notable")
+
     def media_counts(self, days: EventDays | None = None) -> DataFrame:
         return media_tally(days_of(self.media_facts, days))
 

@@ -120,6 +120,15 @@ class StarSurvey:
             (F.col("p_size") <= NOTABLE_SIZE).alias("is_notable"))
         return checklists.join(entries, "checklist_id").join(names, "p_partkey").drop("p_partkey")
 
+    def notable(self, days: EventDays | None = None) -> DataFrame:
+        """The notable ones of the sightings: entries meet their few species before the checklists."""
+        names = self.table("part").where(F.col("p_size") <= NOTABLE_SIZE).select(
+            "p_partkey", F.col("p_name").alias("species"))
+        entries = self.table("lineitem").select(
+            F.col("l_orderkey").alias("checklist_id"), F.col("l_partkey").alias("p_partkey"))
+        return entries.join(names, "p_partkey").drop("p_partkey").join(
+            self.checklists(days), "checklist_id").withColumn("is_notable", F.lit(True))
+
     def _uploads(self, days: EventDays | None = None) -> DataFrame:
         media_type = F.lit(None).cast("string")
         for event, kind in MEDIA_EVENTS.items():
