@@ -1,4 +1,4 @@
-"""The ten operators as queries over the tables of one folder, and their SQL."""
+"""The operators as queries over the tables of one folder, and their SQL."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldtally.llm import (
-    embeddings, exact, html, language, mixing, packing, quality, sharding, simhash, toxicity)
+    embeddings, exact, html, language, mixing, packing, quality, repeats, sharding, simhash,
+    toxicity)
 from fieldtally.llm.common import in_fold, table
 
 SHARDS = 40
@@ -111,6 +112,13 @@ def op10_tag_path_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+@_query
+def op12_induced_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its strings of 400 bytes that occur elsewhere."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), 400).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 _SPACES = r"[\x20\x09-\x0D]"
 
 ORACLES: dict[str, str] = {
@@ -171,4 +179,32 @@ ORACLES: dict[str, str] = {
                    sum(greatest(0, least(size, coalesce(words, 0) - before)))::BIGINT AS taken
             FROM stream s LEFT JOIN slots USING (k) GROUP BY doc_id, s.k)
         SELECT doc_id, size, source_size, round(target, 6) AS target, taken, source FROM taken JOIN targets USING (k)""",
+    # Windows of 400 bytes by their MD5; runs of covered bytes are cut out.
+    "op12_induced_repeats": """
+        WITH bodies AS (
+            SELECT row_number() OVER () AS nr, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+        starts AS (
+            SELECT nr, unnest(range(1, octet_length(b) - 398)) AS i FROM bodies),
+        windows AS (
+            SELECT nr, i, count(*) OVER (PARTITION BY md5(array_slice(b, i, i + 399))) AS n
+            FROM starts JOIN bodies USING (nr)),
+        hits AS (
+            SELECT nr, i, lag(i) OVER (PARTITION BY nr ORDER BY i) AS earlier FROM windows WHERE n > 1),
+        runs AS (
+            SELECT nr, i, sum((earlier IS NULL OR i > earlier + 400)::INT)
+                   OVER (PARTITION BY nr ORDER BY i) AS run FROM hits),
+        spans AS (
+            SELECT nr, run, min(i) AS first, max(i) + 399 AS last FROM runs GROUP BY nr, run),
+        lists AS (
+            SELECT nr, sum(last - first + 1)::BIGINT AS n_removed, count(*) AS n_spans,
+                   list(first ORDER BY first) AS firsts, list(last ORDER BY first) AS lasts
+            FROM spans GROUP BY nr)
+        SELECT doc_id, octet_length(b) AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+               coalesce(n_spans, 0) AS n_spans,
+               CASE WHEN n_spans IS NULL THEN sha256(b) ELSE sha256(unhex(list_reduce(list_transform(
+                   range(1, n_spans + 2), lambda k: hex(array_slice(b,
+                       CASE WHEN k = 1 THEN 1 ELSE lasts[k - 1] + 1 END,
+                       CASE WHEN k > n_spans THEN octet_length(b) ELSE firsts[k] - 1 END))),
+                   lambda x, y: x || y))) END AS kept_sha256
+        FROM bodies LEFT JOIN lists USING (nr)""",
 }
