@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldtally.llm import (
-    embeddings, exact, html, language, mixing, packing, quality, repeats, sharding, simhash,
-    toxicity)
+    alignment, codes, embeddings, exact, html, language, mixing, packing, quality, repeats,
+    sharding, simhash, toxicity)
 from fieldtally.llm.common import in_fold, table
 
 SHARDS = 40
@@ -112,6 +112,12 @@ def op10_tag_path_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+@_query
+def op11_dual_tree_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's code in 16 codebooks of 64 entries, and its error."""
+    return codes.compress_vectors(table(spark, sf_dir, "embeddings"), 16, 64, 2)
+
+
 @_query
 def op12_induced_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without its strings of 400 bytes that occur elsewhere."""
@@ -119,6 +125,12 @@ def op12_induced_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@_query
+def op13_anchored_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two vocabularies lie on each document's bytes."""
+    return alignment.align_tokens(table(spark, sf_dir, "documents"))[0]
+
+
 _SPACES = r"[\x20\x09-\x0D]"
 
 ORACLES: dict[str, str] = {
@@ -184,12 +196,13 @@ ORACLES: dict[str, str] = {
         WITH bodies AS (
             SELECT row_number() OVER () AS nr, doc_id, encode(coalesce(text, '')) AS b FROM documents),
         starts AS (
-            SELECT nr, unnest(range(1, octet_length(b) - 398)) AS i FROM bodies),
-        windows AS (
-            SELECT nr, i, count(*) OVER (PARTITION BY md5(array_slice(b, i, i + 399))) AS n
-            FROM starts JOIN bodies USING (nr)),
+            SELECT nr, unnest(range(1, octet_length(b) - 398)) AS i, unnest(list_transform(
+                range(1, octet_length(b) - 398), lambda i: md5_number(array_slice(b, i, i + 399)))) AS h
+            FROM bodies),
+        windows AS (SELECT nr, i FROM starts WHERE h IN (
+            SELECT h FROM starts GROUP BY h HAVING count(*) > 1)),
         hits AS (
-            SELECT nr, i, lag(i) OVER (PARTITION BY nr ORDER BY i) AS earlier FROM windows WHERE n > 1),
+            SELECT nr, i, lag(i) OVER (PARTITION BY nr ORDER BY i) AS earlier FROM windows),
         runs AS (
             SELECT nr, i, sum((earlier IS NULL OR i > earlier + 400)::INT)
                    OVER (PARTITION BY nr ORDER BY i) AS run FROM hits),
@@ -207,4 +220,54 @@ ORACLES: dict[str, str] = {
                        CASE WHEN k > n_spans THEN octet_length(b) ELSE firsts[k] - 1 END))),
                    lambda x, y: x || y))) END AS kept_sha256
         FROM bodies LEFT JOIN lists USING (nr)""",
+    # Parts of four components each, as the vectors of the table have 64.
+    "op11_dual_tree_codes": """
+        WITH kept AS (
+            SELECT row_number() OVER (ORDER BY vec_id, embedding) AS nr, vec_id, label, embedding
+            FROM embeddings WHERE embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        points AS (
+            SELECT nr, p, floor(256 * embedding[4 * p + 1]::DOUBLE)::BIGINT AS x1,
+                   floor(256 * embedding[4 * p + 2]::DOUBLE)::BIGINT AS x2,
+                   floor(256 * embedding[4 * p + 3]::DOUBLE)::BIGINT AS x3,
+                   floor(256 * embedding[4 * p + 4]::DOUBLE)::BIGINT AS x4
+            FROM (SELECT nr, embedding, unnest(range(16)) AS p FROM kept)),
+        book0 AS (
+            SELECT p, nr - 1 AS e, x1 AS c1, x2 AS c2, x3 AS c3, x4 AS c4 FROM points WHERE nr <= 64),
+        book1 AS (
+            SELECT p, e, coalesce(m1, c1) AS c1,
+                   coalesce(m2, c2) AS c2,
+                   coalesce(m3, c3) AS c3,
+                   coalesce(m4, c4) AS c4
+            FROM book0 LEFT JOIN (
+                SELECT p, e, floor(sum(x1)::DOUBLE / count(*))::BIGINT AS m1, floor(sum(x2)::DOUBLE / count(*))::BIGINT AS m2, floor(sum(x3)::DOUBLE / count(*))::BIGINT AS m3, floor(sum(x4)::DOUBLE / count(*))::BIGINT AS m4
+                FROM points JOIN (
+            SELECT nr, p, arg_min(e, d * 64 + e) AS e, min(d) AS d FROM (
+                SELECT nr, p, e, (x1 - c1) * (x1 - c1) + (x2 - c2) * (x2 - c2)
+                       + (x3 - c3) * (x3 - c3) + (x4 - c4) * (x4 - c4) AS d
+                FROM points JOIN book0 USING (p)) GROUP BY nr, p) USING (nr, p) GROUP BY p, e) USING (p, e)),
+        book2 AS (
+            SELECT p, e, coalesce(m1, c1) AS c1,
+                   coalesce(m2, c2) AS c2,
+                   coalesce(m3, c3) AS c3,
+                   coalesce(m4, c4) AS c4
+            FROM book1 LEFT JOIN (
+                SELECT p, e, floor(sum(x1)::DOUBLE / count(*))::BIGINT AS m1, floor(sum(x2)::DOUBLE / count(*))::BIGINT AS m2, floor(sum(x3)::DOUBLE / count(*))::BIGINT AS m3, floor(sum(x4)::DOUBLE / count(*))::BIGINT AS m4
+                FROM points JOIN (
+            SELECT nr, p, arg_min(e, d * 64 + e) AS e, min(d) AS d FROM (
+                SELECT nr, p, e, (x1 - c1) * (x1 - c1) + (x2 - c2) * (x2 - c2)
+                       + (x3 - c3) * (x3 - c3) + (x4 - c4) * (x4 - c4) AS d
+                FROM points JOIN book1 USING (p)) GROUP BY nr, p) USING (nr, p) GROUP BY p, e) USING (p, e)),
+        coded AS (
+            SELECT nr, string_agg(printf('%02x', e::INT), '' ORDER BY p) AS code,
+                   sum(d)::BIGINT AS error
+            FROM (
+            SELECT nr, p, arg_min(e, d * 64 + e) AS e, min(d) AS d FROM (
+                SELECT nr, p, e, (x1 - c1) * (x1 - c1) + (x2 - c2) * (x2 - c2)
+                       + (x3 - c3) * (x3 - c3) + (x4 - c4) * (x4 - c4) AS d
+                FROM points JOIN book2 USING (p)) GROUP BY nr, p) GROUP BY nr)
+        SELECT vec_id, label, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+               (SELECT sha256(string_agg(concat_ws(',', c1, c2, c3, c4), ',' ORDER BY p, e))
+                FROM book2) AS codebooks_sha256
+        FROM kept JOIN coded USING (nr)""",
 }
