@@ -53,12 +53,17 @@ def least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:len(values) - rest], values[rest:]) if rest else values
 
 
-def stretches(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First window, end of windows and least hash of each stretch of a text's bytes."""
+def stretches(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
+    """First window, end of windows and least hash of each stretch of a text's bytes.
+
+    The last array tells whether windows of the stretch may equal each other: only if the
+    gram occurs again, before the last of them.
+    """
     found = []
     for begin in range(0, max(0, len(data) - length + 1), TEXT_BLOCK):
         part = data[begin:begin + TEXT_BLOCK + length - 1]
-        least = least_in_windows(gram_hashes(part), length - GRAM + 1)
+        hashes = gram_hashes(part)
+        least = least_in_windows(hashes, length - GRAM + 1)
         cuts = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
         sizes = np.diff(np.r_[cuts, len(least)])
         pieces = -(-sizes // MOST_WINDOWS)
@@ -66,9 +71,11 @@ def stretches(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.nd
         nth = np.arange(len(starts)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         starts = starts + nth * MOST_WINDOWS
         stops = np.minimum(starts + MOST_WINDOWS, np.repeat(cuts + sizes, pieces))
-        found.append((starts + begin, stops + begin, least[starts].view(np.int64)))
+        begins_gram = np.r_[0, (hashes[:len(least)] == least).cumsum()]
+        found.append((starts + begin, stops + begin, least[starts].view(np.int64),
+                      (begins_gram[stops - 1] > begins_gram[starts]).astype(np.int64)))
     if not found:
-        return (np.empty(0, dtype=np.int64),) * 3
+        return (np.empty(0, dtype=np.int64),) * 4
     return tuple(np.concatenate(column) for column in zip(*found, strict=True))
 
 
@@ -82,13 +89,13 @@ def _with_bytes(docs: DataFrame) -> DataFrame:
 
 
 def occurrences(bodies: DataFrame, length: int) -> DataFrame:
-    """Rows (text_key, key, content, start, stop): all stretches of all texts.
+    """Rows (text_key, key, content, start, stop, own): all stretches of all texts.
 
-    content is a 128-bit hash of the stretch's bytes.
+    content is a 128-bit hash of the stretch's bytes; own is 1 if it may repeat itself.
     """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, columns, hashes = [], ([], [], []), []
+            texts, columns, hashes = [], ([], [], [], []), []
             for row, body in enumerate(batch.column("body")):
                 view = body.as_buffer()
                 if view.size < length:
@@ -101,22 +108,28 @@ def occurrences(bodies: DataFrame, length: int) -> DataFrame:
                 for column, part in zip(columns, made, strict=True):
                     column.append(part)
             if texts:
-                starts, stops, keys = (np.concatenate(c) for c in columns)
+                starts, stops, keys, own = (np.concatenate(c) for c in columns)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("text_key").take(pa.array(np.concatenate(texts))),
                      pa.array(keys), pa.array(hashes, pa.binary()), pa.array(starts),
-                     pa.array(stops)],
-                    names=["text_key", "key", "content", "start", "stop"])
+                     pa.array(stops), pa.array(own)],
+                    names=["text_key", "key", "content", "start", "stop", "own"])
 
     return bodies.where(F.octet_length("body") >= length).mapInArrow(
-        work, "text_key binary, key bigint, content binary, start bigint, stop bigint")
+        work, "text_key binary, key bigint, content binary, start bigint, stop bigint, own bigint")
 
 
 def _kinds(rows: DataFrame) -> DataFrame:
-    """(key, content, n, total, kinds) of rows (key, content, n) for keys that occur twice."""
-    counted = rows.groupBy("key", "content").agg(F.sum("n").alias("n"))
-    keys = counted.groupBy("key").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
-    return counted.join(keys.where("total > 1"), "key")
+    """(key, content, n, kinds) of rows (key, content, n, own) whose windows may repeat.
+
+    Those are of keys that occur twice, or of a stretch that may repeat itself; such a one
+    counts as one kind more, so that it is sorted even when alone.
+    """
+    counted = rows.groupBy("key", "content").agg(F.sum("n").alias("n"), F.max("own").alias("own"))
+    keys = counted.groupBy("key").agg(
+        F.sum("n").alias("total"), (F.count(F.lit(1)) + F.max("own")).alias("kinds"),
+        F.max("own").alias("any_own"))
+    return counted.drop("own").join(keys.where("total > 1 or any_own > 0").select("key", "kinds"), "key")
 
 
 def sorted_shard(batches: Iterator[pa.RecordBatch], length: int, in_memory: int,
@@ -186,7 +199,7 @@ def sorted_shard(batches: Iterator[pa.RecordBatch], length: int, in_memory: int,
 def split_stretch(body: bytes, anchor: int, low: int, high: int, length: int):
     """The windows of a stretch by where their gram stands and what must be around it.
 
-    Yields (key, start, stop, low, high). A window's gram is the first with the hash
+    Yields (key, start, stop, low, high, own). A window's gram is the first with the hash
     `anchor`; its place in the window lies from low to high. Either half of these places
     has bytes in common that every such window holds around its gram: their hash is a key,
     equal for equal windows.
@@ -206,11 +219,11 @@ def split_stretch(body: bytes, anchor: int, low: int, high: int, length: int):
         core = body[place - own[0]:place + GRAM + after]
         key = xxhash.xxh3_64_intdigest(core, (own[0] << 32) + own[1]) - (1 << 63)
         if run and run[0] == key:
-            run[2] = end
+            run[2], run[5] = end, 1
         else:
             if run:
                 yield run
-            run = [key, begin, end, *own]
+            run = [key, begin, end, *own, 0]
     yield run
 
 
@@ -220,22 +233,23 @@ def _split(hot: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
-                for key, start, stop, low, high in split_stretch(
+                for key, start, stop, low, high, own in split_stretch(
                         r["body"], r["anchor"], r["low"], r["high"], length):
                     part = r["body"][start:stop + length - 1]
                     rows.append((r["key"], r["content"], start, key,
-                                 xxhash.xxh3_128_digest(part), part, r["n"], r["anchor"], low, high))
+                                 xxhash.xxh3_128_digest(part), part, r["n"], r["anchor"], low, high, own))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
                     names=names)
 
-    names = ["above", "whole", "offset", "key", "content", "body", "n", "anchor", "low", "high"]
+    names = ["above", "whole", "offset", "key", "content", "body", "n", "anchor", "low", "high",
+             "own"]
     kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary(),
-             pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+             pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
     return hot.mapInArrow(
         work, "above bigint, whole binary, offset bigint, key bigint, content binary, "
-              "body binary, n bigint, anchor bigint, low int, high int")
+              "body binary, n bigint, anchor bigint, low int, high int, own bigint")
 
 
 def marked_windows(found: DataFrame, slim: DataFrame, length: int,
@@ -261,7 +275,7 @@ def marked_windows(found: DataFrame, slim: DataFrame, length: int,
     if not total.get(True):
         return marks
     parts = written(_split(found.where(is_hot), length), "parts")
-    kinds = checkpointed(_kinds(parts.select("key", "content", "n")))
+    kinds = checkpointed(_kinds(parts.select("key", "content", "n", "own")))
     several = parts.join(kinds.where("kinds > 1").select(
         "key", "content", "kinds", F.col("n").alias("whole_n")), ["key", "content"])
     # Equal parts are one; their bytes travel once for each task that has them.
@@ -299,7 +313,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, **limits) -> DataFrame
         raise ValueError(f"strings of {length} bytes are too short to be told by grams of {GRAM}")
     bodies = _with_bytes(docs)
     every = occurrences(bodies, length)
-    counted = every.select("key", "content", F.lit(1).cast("bigint").alias("n"))
+    counted = every.select("key", "content", F.lit(1).cast("bigint").alias("n"), "own")
     kinds = checkpointed(_kinds(counted))
     found = written(every.join(kinds.select("key", "content", "n", "kinds"), ["key", "content"])
                     .dropDuplicates(["text_key", "key", "content", "start"]), "stretches")

@@ -68,7 +68,8 @@ def corpus(seed, count=120):
         return " ".join(rng.choice(words) for _ in range(n))
     passage, line, whole = prose(40), prose(12), prose(90)
     texts = [None, "", "short", whole, whole, whole + "x", "y" + whole, "z" * 900, "z" * 350,
-             "ab" * 300, "b" + "ab" * 200, line * 20, prose(5) + line * 12]
+             "ab" * 300, "b" + "ab" * 200, line * 20, prose(5) + line * 12,
+             prose(20) + " " + prose(25) * 9 + prose(3), "x".join([prose(9)] * 30)]
     for _ in range(count):
         kind = rng.random()
         text = prose(rng.randrange(1, 60))
