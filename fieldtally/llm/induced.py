@@ -136,15 +136,23 @@ class Types:
         return np.flatnonzero(self.smaller[begin + 1:end + 1] & ~self.smaller[begin:end]) + begin + 1
 
 
+def _packed(symbols: np.ndarray) -> tuple[int, int]:
+    """Bits of a symbol and symbols of a 64-bit number: letters of a text need nine bits."""
+    bits = 9 if symbols.dtype == np.uint16 else 32
+    return bits, 64 // bits
+
+
 def _words(symbols: np.ndarray, at: np.ndarray, left: np.ndarray) -> np.ndarray:
     """The symbols from each place as one number that orders like them, padded beyond its end."""
-    bits = 8 * symbols.dtype.itemsize
-    pad = (1 << bits) - 1
+    bits, per = _packed(symbols)
+    pad = np.uint64((1 << bits) - 1)
     word = np.zeros(len(at), dtype=np.uint64)
     last = len(symbols) - 1
-    for step in range(64 // bits):
+    for step in range(per):
         symbol = symbols[np.minimum(at + step, last)].astype(np.uint64)
-        word = (word << np.uint64(bits)) | np.where(step < left, symbol, np.uint64(pad))
+        symbol[step >= left] = pad
+        word <<= np.uint64(bits)
+        word |= symbol
     return word
 
 
@@ -158,7 +166,9 @@ def _ranks(count: int, word) -> tuple[np.ndarray, np.ndarray]:
     step = 0
     while len(active):
         value, more = word(active, step)
-        order = np.lexsort((value, rank[active])) if step else np.argsort(value, kind="stable")
+        order = np.argsort(value)
+        if step:
+            order = order[np.argsort(rank[active[order]], kind="stable")]
         active, value, more = active[order], value[order], more[order]
         old = rank[active]
         new_group = np.r_[True, old[1:] != old[:-1]]
@@ -169,7 +179,7 @@ def _ranks(count: int, word) -> tuple[np.ndarray, np.ndarray]:
         several = ~(new & np.r_[new[1:], True])
         active = active[several & more]
         step += 1
-    return rank, np.argsort(rank, kind="stable")
+    return rank, np.argsort(rank)
 
 
 def _named(symbols: np.ndarray, lms: np.ndarray, scratch: Scratch) -> tuple[np.ndarray, int]:
@@ -179,7 +189,7 @@ def _named(symbols: np.ndarray, lms: np.ndarray, scratch: Scratch) -> tuple[np.n
     a sample of them cuts, and ranges are sorted one by one.
     """
     ends = np.r_[lms[1:], len(symbols) - 1] if len(lms) else lms
-    per = 8 // symbols.dtype.itemsize
+    per = _packed(symbols)[1]
     names = scratch.array(len(lms), np.uint32)
 
     def words(items: np.ndarray, step: int):
@@ -220,10 +230,11 @@ def _doubled(names: np.ndarray) -> np.ndarray:
     unsure = order[same | np.r_[same[1:], False]]
     reach = 1
     while len(unsure):
-        after = rank[np.minimum(unsure + reach, size - 1)]
-        order = np.lexsort((after, rank[unsure]))
-        unsure, after = unsure[order], after[order]
-        old = rank[unsure]
+        # A string in memory has fewer than 2^32 suffixes.
+        pair = (rank[unsure] << 32) | rank[np.minimum(unsure + reach, size - 1)]
+        order = np.argsort(pair)
+        unsure, pair = unsure[order], pair[order]
+        old, after = pair >> 32, pair & 0xFFFFFFFF
         new_group = np.r_[True, old[1:] != old[:-1]]
         new = new_group | np.r_[True, after[1:] != after[:-1]]
         begin = np.maximum.accumulate(np.where(new_group, np.arange(len(unsure)), 0))
@@ -231,7 +242,7 @@ def _doubled(names: np.ndarray) -> np.ndarray:
         rank[unsure] = old + place - begin
         unsure = unsure[~(new & np.r_[new[1:], True])]
         reach *= 2
-    return np.argsort(rank, kind="stable")
+    return np.argsort(rank)
 
 
 def _induced_names(symbols: np.ndarray, types: Types, seeds: np.ndarray, falling: bool,
@@ -330,37 +341,44 @@ def _sorted_lms(symbols: np.ndarray, types: Types, scratch: Scratch) -> np.ndarr
     return np.r_[lms[-1:], lms[:-1][order]]
 
 
-def _shared(symbols: np.ndarray, places: np.ndarray, cap: int) -> np.ndarray:
-    """The common prefix, up to cap, of each place's suffix and that of the place before it."""
+def _shared(text: np.ndarray, places: np.ndarray, cap: int) -> np.ndarray:
+    """The common prefix, up to cap, of each place's suffix and that of the place before it.
+
+    Eight bytes are compared at once, of pairs that have agreed so far.
+    """
+    size = len(text)
     shared = np.zeros(len(places), dtype=np.int64)
     active = np.arange(1, len(places))
-    padded = np.r_[symbols[-cap - 4:], np.zeros(cap + 4, dtype=np.uint16)]
-    near_end = len(symbols) - len(padded) + cap + 4
-    words = np.ndarray((len(symbols) - 3,), "<u8", symbols, strides=(2,)) if len(symbols) > 3 else None
-    ends = np.ndarray((len(padded) - 3,), "<u8", padded, strides=(2,))
+    tail = np.r_[text[max(0, size - cap - 16):], np.zeros(cap + 16, dtype=np.uint8)]
+    inner = max(0, size - 7)
+    words = np.ndarray((inner,), "<u8", text, strides=(1,)) if inner else None
+    ends = np.ndarray((len(tail) - 7,), "<u8", tail, strides=(1,))
+    offset = max(0, size - cap - 16)
 
     def word(at: np.ndarray) -> np.ndarray:
-        inner = at < len(symbols) - 3
-        if inner.all():
+        if len(at) and at.max() < inner:
             return words[at]
+        within = at < inner
         found = np.empty(len(at), dtype=np.uint64)
-        if words is not None:
-            found[inner] = words[at[inner]]
-        found[~inner] = ends[at[~inner] - near_end]
+        if inner:
+            found[within] = words[at[within]]
+        found[~within] = ends[at[~within] - offset]
         return found
 
     here, there = places[1:].copy(), places[:-1].copy()
-    for _ in range(0, cap, 4):
+    for _ in range(0, cap, 8):
         if not len(active):
             break
         differ = word(here) ^ word(there)
         same = differ == 0
         apart = ~same
         low = differ[apart] & (~differ[apart] + np.uint64(1))
-        shared[active[apart]] += (np.frexp(low.astype(np.float64))[1] - 1) // 16
+        shared[active[apart]] += (np.frexp(low.astype(np.float64))[1] - 1) // 8
         active = active[same]
-        shared[active] += 4
-        here, there = here[same] + 4, there[same] + 4
+        shared[active] += 8
+        here, there = here[same] + 8, there[same] + 8
+    # What lies beyond the end of the text equals nothing.
+    shared[1:] = np.minimum(shared[1:], size - np.maximum(places[1:], places[:-1]))
     return np.minimum(shared, cap).astype(np.uint16)
 
 
@@ -463,7 +481,7 @@ def shared_prefixes(text: np.ndarray, cap: int, scratch: Scratch) -> tuple[np.nd
     count = 257
     types = Types(symbols, scratch, cap)
     lms = _sorted_lms(symbols, types, scratch)
-    shared = _shared(symbols, lms, cap)
+    shared = _shared(text, lms, cap)
     nothing = (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint16))
     cuts = np.searchsorted(symbols[lms], np.arange(count + 1))
     seeds = [(lms[a:b], shared[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]

@@ -312,7 +312,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, **limits) -> DataFrame
     if length < GRAM + 8:
         raise ValueError(f"strings of {length} bytes are too short to be told by grams of {GRAM}")
     bodies = _with_bytes(docs)
-    every = occurrences(bodies, length)
+    every = written(occurrences(bodies, length), "occurrences")
     counted = every.select("key", "content", F.lit(1).cast("bigint").alias("n"), "own")
     kinds = checkpointed(_kinds(counted))
     found = written(every.join(kinds.select("key", "content", "n", "kinds"), ["key", "content"])
