@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import public_tokenizers
@@ -27,9 +28,8 @@ from fieldtally.sinks.files import written
 #: Text that one chunk row stands for, unless one document has more.
 CHUNK_BYTES = 8 << 20
 CHUNK_DOCS = 8192
-#: Remembered windows of a task, and the tokens of the longest one remembered.
+#: Windows that a task remembers; beyond it, or beyond 16 links for each, it starts anew.
 MOST_WINDOWS = 200_000
-LONGEST_WINDOW = 48
 #: Ids of the second vocabulary start here in keys and codes.
 SECOND = 1 << 20
 
@@ -69,34 +69,28 @@ def piece_model(path: str) -> tuple[sentencepiece.SentencePieceProcessor, list[b
     return model, table
 
 
-def align(first: Sequence[int], second: Sequence[int], first_bytes: Sequence[bytes],
-          second_bytes: Sequence[bytes]) -> tuple[str, int, list[int]]:
-    """Of ids on the same bytes: their groups as text, how many, and a code for each link.
+class Links(NamedTuple):
+    """Of ids on the same bytes: a code for each link, and where links and groups end.
 
     Two tokens link if their bytes overlap; a group ends where tokens of both end. A code
     is the first id times SECOND, plus the second.
     """
-    groups, links = [], []
-    i = j = 0
-    group_i = group_j = 0
-    end_i, end_j = len(first_bytes[first[0]]), len(second_bytes[second[0]])
-    while True:
-        links.append(first[i] * SECOND + second[j])
-        if end_i == end_j:
-            groups.append(",".join(map(str, first[group_i:i + 1])) + "|"
-                          + ",".join(map(str, second[group_j:j + 1])))
-            i, j = i + 1, j + 1
-            if i == len(first):
-                return ";".join(groups), len(groups), links
-            group_i, group_j = i, j
-            end_i += len(first_bytes[first[i]])
-            end_j += len(second_bytes[second[j]])
-        elif end_i < end_j:
-            i += 1
-            end_i += len(first_bytes[first[i]])
-        else:
-            j += 1
-            end_j += len(second_bytes[second[j]])
+    codes: np.ndarray
+    link_ends: np.ndarray
+    group_ends: np.ndarray
+    first_group: np.ndarray
+    second_group: np.ndarray
+
+
+def align(first: np.ndarray, second: np.ndarray, ends: np.ndarray, others: np.ndarray) -> Links:
+    """The alignment of ids whose tokens end at these bytes of a text."""
+    link_ends = np.union1d(ends, others)
+    codes = first[np.searchsorted(ends, link_ends)].astype(np.int64) * SECOND
+    codes += second[np.searchsorted(others, link_ends)]
+    at = np.searchsorted(others, ends)
+    group_ends = ends[others[at] == ends]
+    return Links(codes, link_ends, group_ends, np.searchsorted(group_ends, ends),
+                 np.searchsorted(group_ends, others))
 
 
 class Aligner:
@@ -110,6 +104,9 @@ class Aligner:
         self.second_length = np.array([len(t) for t in self.second])
         self.first_spaced = np.array([t[:1] == b" " for t in self.first])
         self.second_spaced = np.array([t[:1] == b" " for t in self.second])
+        # Each id as text with what follows it: a comma, or the end of its side of a group.
+        self.first_told = [[f"{n}{mark}" for n in range(len(self.first))] for mark in ",|"]
+        self.second_told = [[f"{n}{mark}" for n in range(len(self.second))] for mark in ",;"]
         self.most_windows = most_windows
         self.forget()
 
@@ -117,17 +114,42 @@ class Aligner:
         self.known: dict[bytes, int] = {}
         self.told: list[str] = []
         self.groups: list[int] = []
-        self.codes: list[np.ndarray] = []
-
-    def _window(self, key: bytes, ids: Sequence[int], others: Sequence[int]) -> int:
-        told, groups, codes = align(ids, others, self.first, self.second)
-        number = len(self.told)
-        self.told.append(told)
-        self.groups.append(groups)
-        self.codes.append(np.array(codes))
-        if len(ids) + len(others) <= LONGEST_WINDOW:
-            self.known[key] = number
-        return number
+        self.link_starts = np.zeros(1024, dtype=np.int64)
+        self.codes = np.zeros(4096, dtype=np.int64)
+
+    @staticmethod
+    def _room(array: np.ndarray, size: int) -> np.ndarray:
+        return array if size <= len(array) else np.r_[array, np.zeros(max(size, len(array)), array.dtype)]
+
+    def learn(self, keys: list[bytes]) -> None:
+        """Aligns windows that are not known, all at once, and remembers each."""
+        ids = np.frombuffer(b"".join(keys), dtype="<u4")
+        is_second = ids >= SECOND
+        first, second = ids[~is_second], ids[is_second] - np.uint32(SECOND)
+        sizes = np.array([len(k) // 4 for k in keys])
+        of_second = np.add.reduceat(is_second, np.cumsum(sizes) - sizes)
+        ends, others = self.first_length[first].cumsum(), self.second_length[second].cumsum()
+        found = align(first, second, ends, others)
+        window_ends = ends[np.cumsum(sizes - of_second) - 1]
+        link_cuts = np.r_[0, np.searchsorted(found.link_ends, window_ends) + 1]
+        groups = np.diff(np.r_[0, np.searchsorted(found.group_ends, window_ends) + 1])
+        marks = [np.r_[group[1:] != group[:-1], True].tolist()
+                 for group in (found.first_group, found.second_group)]
+        told = [self.first_told[m][n] for m, n in zip(marks[0], first.tolist(), strict=True)]
+        told += [self.second_told[m][n] for m, n in zip(marks[1], second.tolist(), strict=True)]
+        order = np.argsort(np.r_[2 * found.first_group, 2 * found.second_group + 1], kind="stable")
+        pieces = list(map(told.__getitem__, order.tolist()))
+        at, number = 0, len(self.told)
+        for key, size in zip(keys, sizes.tolist(), strict=True):
+            self.known[key] = len(self.told)
+            self.told.append("".join(pieces[at:at + size])[:-1])
+            at += size
+        self.groups += groups.tolist()
+        begin = int(self.link_starts[number])
+        self.link_starts = self._room(self.link_starts, len(self.told) + 1)
+        self.link_starts[number + 1:len(self.told) + 1] = begin + link_cuts[1:]
+        self.codes = self._room(self.codes, begin + len(found.codes))
+        self.codes[begin:begin + len(found.codes)] = found.codes
 
     def tokens(self, body: bytes) -> tuple[np.ndarray, np.ndarray] | None:
         """Both texts' ids, or nothing for a text that either does not give back."""
@@ -150,32 +172,32 @@ class Aligner:
         both = self.tokens(body)
         if both is None:
             return 0, 0, 0, 0, "", np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-        if len(self.told) > self.most_windows:
-            self.forget()
         first, second = both
         ends = self.first_length[first].cumsum()
         others = self.second_length[second].cumsum()
         at = np.searchsorted(others, ends[:-1])
         shared = (others[at] == ends[:-1]) & self.first_spaced[first[1:]]
         shared &= self.second_spaced[second[np.minimum(at + 1, len(second) - 1)]]
-        cuts = [0, *(np.flatnonzero(shared) + 1).tolist(), len(first)]
-        other_cuts = [0, *(at[shared] + 1).tolist(), len(second)]
-        first_key = first.tobytes()
-        second_key = (second + np.uint32(SECOND)).tobytes()
-        keys = [first_key[4 * a:4 * b] + second_key[4 * c:4 * d] for a, b, c, d in zip(
+        cuts = (4 * np.r_[0, np.flatnonzero(shared) + 1, len(first)]).tolist()
+        other_cuts = (4 * np.r_[0, at[shared] + 1, len(second)]).tolist()
+        told, others_told = first.tobytes(), (second + np.uint32(SECOND)).tobytes()
+        keys = [told[a:b] + others_told[c:d] for a, b, c, d in zip(
             cuts, cuts[1:], other_cuts, other_cuts[1:], strict=False)]
         windows = list(map(self.known.get, keys))
         if None in windows:
-            for n, (known, key) in enumerate(zip(windows, keys, strict=True)):
-                if known is None:
-                    known = self.known.get(key)
-                    windows[n] = self._window(
-                        key, first[cuts[n]:cuts[n + 1]].tolist(),
-                        second[other_cuts[n]:other_cuts[n + 1]].tolist()) if known is None else known
-        told = hashlib.sha256(";".join(map(self.told.__getitem__, windows)).encode()).hexdigest()
+            if len(self.told) > self.most_windows or len(self.codes) > 16 * self.most_windows:
+                self.forget()
+            self.learn([k for k in dict.fromkeys(keys) if k not in self.known])
+            windows = list(map(self.known.__getitem__, keys))
+        groups = hashlib.sha256(";".join(map(self.told.__getitem__, windows)).encode()).hexdigest()
         n_groups = sum(map(self.groups.__getitem__, windows))
-        codes, times = np.unique(np.concatenate([self.codes[w] for w in windows]), return_counts=True)
-        return len(first), len(second), n_groups, int(times.sum()), told, codes, times
+        rows = np.array(windows)
+        starts = self.link_starts[rows]
+        counts = self.link_starts[rows + 1] - starts
+        upto = counts.cumsum()
+        links = self.codes[np.arange(upto[-1]) + np.repeat(starts - upto + counts, counts)]
+        codes, times = np.unique(links, return_counts=True)
+        return len(first), len(second), n_groups, len(links), groups, codes, times
 
 
 PAIRS = "array<struct<code:bigint,n:bigint>>"
@@ -209,8 +231,7 @@ def chunks(docs: DataFrame, first_path: str, second_path: str, chunk_bytes: int
             n_a, n_b, groups, links, told, codes, times = zip(*rows, strict=True)
             pairs, place = np.unique(np.concatenate(codes), return_inverse=True)
             count = np.concatenate(times)
-            totals = np.zeros(len(pairs), dtype=np.int64)
-            np.add.at(totals, place, count)
+            totals = np.bincount(place, count, len(pairs)).astype(np.int64)
             listed = pa.StructArray.from_arrays([pa.array(pairs), pa.array(totals)], ["code", "n"])
 
             def one(values, value_type=None) -> pa.Array:
