@@ -97,7 +97,38 @@ def test_samples_are_bounded(documents):
     taken = samples.bounded_texts(documents, rows, most_rows=5, most_bytes=10 ** 6)
     assert taken.groupby("kind").size().max() == 5 and taken["kind"].nunique() > 5
     short = samples.bounded_texts(documents, rows, most_rows=50, most_bytes=400)
-    assert (short.groupby("kind")["text"].apply(lambda t: sum(len(x.encode()) for x in t[:-1])) <= 400).all()
+    assert (short.groupby("kind")["text"].apply(lambda t: sum(len(x.encode()) for x in t)) <= 400).all()
+    few = samples.bounded_rows(documents, rows, 5, 10 ** 6, most_kinds=2)
+    assert few.select("kind").distinct().count() == 2
+
+
+@pytest.mark.parametrize("hot", [lambda: F.lit(1).cast("bigint"), lambda: F.lit(None).cast("bigint")])
+def test_samples_of_one_id_on_many_rows(spark, hot):
+    many = spark.range(50_000).select(hot().alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 30_000).alias("text"))
+    huge = spark.range(1).select(F.lit(2).cast("bigint").alias("doc_id"), F.repeat(F.lit("x"), 100_000).alias("text"))
+    docs = many.union(huge)
+    rows = samples.sizes(docs, F.lit(0).alias("kind"))
+    taken = samples.bounded_texts(docs, rows, most_rows=100, most_bytes=50_000)
+    assert len(taken) == 100 and taken["text"].nunique() == 100
+    same = spark.range(50_000).select(F.lit(1).alias("doc_id"), F.lit("one text").alias("text")).union(
+        spark.createDataFrame([(n, f"other {n}") for n in range(2, 12)], "doc_id int, text string"))
+    taken = samples.bounded_texts(same, samples.sizes(same, F.lit(0).alias("kind")), most_rows=100)
+    assert sorted(taken["text"])[:2] == ["one text", "other 10"] and len(taken) == 11
+
+
+def test_toxicity_of_words_summed_plainly():
+    model = toxicity.fit(["vile thing", "vile words"] * 4, ["nice thing", "kind words"] * 6, 0.2)
+    for text in ("a vile thing", "nice, NICE words", "", None, "vile " * 50):
+        known = {w for w in (text or "").lower().replace(",", " ").split()}
+        total = model.bias
+        for word in known:
+            marked = f"<{word}>"
+            for n in (4, 5):
+                for i in range(len(marked) - n + 1):
+                    total += model.weights.get(zlib.crc32(marked[i:i + n].encode()), 0.0)
+            total += model.weights.get(zlib.crc32(marked.encode()), 0.0)
+        assert model.score(text) == pytest.approx(1 / (1 + np.exp(-np.clip(total, -30, 30))), abs=1e-12)
+    assert model.score("vile") > 0.5 > model.score("nice")
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body>
