@@ -76,3 +76,44 @@ def test_landed_files(spark, tmp_path):
     assert sorted((r["region"], r["obs_date"], str(r["species"]))
                   for r in parsed.rows.collect()) == [
         ("IN-GA", date(2024, 2, 16), "None"), ("IN-KL", date(2024, 2, 16), "owl")]
+
+
+@pytest.mark.parametrize("payload, status, reason", [
+    ('{"numContributors": 1, "numChecklists": 2, "numSpecies": 3}', 200, None),
+    ('{"numContributors": 1, "numChecklists": 2, "numSpecies": 3}', 503, "status"),
+    ('{"numContributors": 1, "numChecklists": 2}', 200, "figures missing"),
+    ('{"numContributors": 1, "numChecklists"', 200, "malformed"),
+    ('[{"comName": "owl"}]', 200, "no object"), ("", 200, "no object"), (None, 200, "empty")])
+def test_reasons_of_rejects(spark, payload, status, reason):
+    answers = spark.createDataFrame([("R", status, payload)], "region string, status int, payload string")
+    parsed = payloads.parse_participation(answers)
+    assert [r["reason"] for r in parsed.rejects.collect()] == ([reason] if reason else [])
+    assert parsed.rows.count() == (reason is None)
+    listed = payloads.parse_species(answers)
+    assert [r["reason"] for r in listed.rejects.collect()] == (
+        [] if payload and payload.startswith("[") else
+        ["status" if status != 200 else "empty" if payload is None else "no list"])
+
+
+def test_landed_files_of_several_lines_with_their_status(spark, tmp_path):
+    answers = spark.createDataFrame(
+        [("IN", 200, '{"photo": 1,\n "audio": 2,\n "video": 3}'), ("NP", 404, '{"photo": 1}'),
+         ("BT-10", 200, "{")], "region string, status int, payload string")
+    for _ in range(2):
+        payloads.land_responses(answers, str(tmp_path / "landed"))
+    assert len(list((tmp_path / "landed").rglob("part-*"))) == 3
+    parsed = payloads.parse_media(payloads.read_responses(spark, str(tmp_path / "landed")))
+    assert [tuple(r) for r in parsed.rows.collect()] == [("IN", 1, 2, 3)]
+    assert {(r["region"], r["reason"]) for r in parsed.rejects.collect()} == {
+        ("NP", "status"), ("BT-10", "malformed")}
+
+
+def test_kept_rejects_outlive_a_second_run(spark, tmp_path):
+    schema = "region string, payload string, reason string"
+    first = spark.createDataFrame([("IN", "{", "malformed"), ("NP", "{", "malformed")], schema)
+    folder = str(tmp_path / "rejects")
+    payloads.keep_rejects(first, folder, "2024-02-16")
+    payloads.keep_rejects(first, folder, "2024-02-17")
+    payloads.keep_rejects(first.limit(1), folder, "2024-02-16")
+    kept = payloads.read_rejects(spark, folder).groupBy("batch").count().collect()
+    assert {r["batch"]: r["count"] for r in kept} == {"2024-02-16": 1, "2024-02-17": 2}
