@@ -68,3 +68,19 @@ def shared_folder(spark: SparkSession, label: str) -> str:
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="fieldtally-")
     return f"{root.rstrip('/')}/fieldtally-{label}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder that a job of ours wrote, wherever Spark keeps it."""
+    files, place = _file_system(spark, path)
+    files.delete(place, True)

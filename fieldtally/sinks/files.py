@@ -7,17 +7,20 @@ write replaces what an earlier run left, so a job can simply be run again.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping
+from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldtally.functions.columns import QUOTING, with_decimal_comma
-from fieldtally.session import shared_folder
+from fieldtally.session import folder_exists, remove_folder, shared_folder
 
 
 MISSING = "NA"  # fixed value: how a missing entry is written
+MANIFESTS = "editions"
 
 
 def write_csv(frame: DataFrame, path: str, missing: str = MISSING) -> None:
@@ -47,6 +50,41 @@ def write_workbook(sheets: Mapping[str, DataFrame], path: str) -> dict[str, str]
     return places
 
 
+def publish_workbook(sheets: Mapping[str, DataFrame], path: str) -> dict[str, str]:
+    """Writes all sheets beside those on show, then shows them by one small file.
+
+    A reader that asks `open_workbook` sees the workbook before or after, never a part of
+    it; a job that fails leaves the last one on show. Earlier sheets are removed then.
+    """
+    if not sheets:
+        raise ValueError("a workbook has at least one sheet")
+    spark, path = next(iter(sheets.values())).sparkSession, path.rstrip("/")
+    shown = _manifests(spark, path)
+    places = write_workbook(sheets, f"{path}/edition-{uuid.uuid4().hex}")
+    edition = 1 + max((r["edition"] for r in shown), default=0)
+    rows = [(edition, sheet, place) for sheet, place in places.items()]
+    spark.createDataFrame(rows, "edition bigint, sheet string, place string").coalesce(1).write.json(
+        f"{path}/{MANIFESTS}/edition={edition:09d}")
+    for place in {r["place"].rpartition("/")[0] for r in shown}:
+        remove_folder(spark, place)
+    return places
+
+
+def open_workbook(spark: SparkSession, path: str) -> dict[str, str]:
+    """Where the sheets of the workbook on show are; none if nothing was published."""
+    rows = _manifests(spark, path.rstrip("/"))
+    last = max((r["edition"] for r in rows), default=0)
+    return {r["sheet"]: r["place"] for r in rows if r["edition"] == last}
+
+
+def _manifests(spark: SparkSession, path: str) -> list:
+    """A row for each sheet of each edition: a few, however large the sheets are."""
+    if not folder_exists(spark, f"{path}/{MANIFESTS}"):
+        return []
+    return spark.read.schema("edition bigint, sheet string, place string").json(
+        f"{path}/{MANIFESTS}/*").collect()
+
+
 def written(frame: DataFrame, label: str) -> DataFrame:
     """The frame as a table in the cluster's shared folder, for results with several uses.
 
@@ -57,6 +95,11 @@ def written(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def write_day(facts: DataFrame, path: str, day: date) -> None:
+    """Facts of one day in place of those that were there for it, also if there are none now."""
+    facts.drop("obs_date").write.mode("overwrite").parquet(f"{path.rstrip('/')}/obs_date={day}")
+
+
 def write_facts(facts: DataFrame, path: str, keep_other_days: bool = False) -> None:
     """Facts partitioned by day, so that an event reads its own days only.
 

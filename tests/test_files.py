@@ -150,3 +150,44 @@ def test_quotes_and_commas_are_standard_csv(spark, tmp_path):
     with open(path, newline="") as lines:
         assert [row[0] for row in csv.reader(lines)] == ["name", *names]
     assert [r["name"] for r in spark.read.csv(str(path), header=True, **QUOTING).collect()] == names
+
+
+def test_lists_whose_headers_differ(spark, tmp_path):
+    folder = tmp_path / "a [b] {c}"
+    write(folder / "1_SpeciesList.csv", "english_name,sort\nowl,2\n")
+    write(folder / "2_SpeciesList.csv", "sort, english_name\n1,crow\nx,kite\n")
+    write(folder / "3_SpeciesList.csv", 'region,sort,"english_name",note\nIN,3,"wren, small",y\n')
+    write(folder / "4_SpeciesList.csv", "sort,english_name\n")
+    write(folder / "5_SpeciesList.csv", "")
+    path = str(tmp_path / "a*")
+    got = source.read_species_lists(spark, path, schema=schemas.TAXONOMY)
+    assert {tuple(r) for r in got.collect()} == {
+        ("owl", 2.0), ("crow", 1.0), ("kite", None), ("wren, small", 3.0)}
+    assert sorted(map(len, source.files_by_header(spark, path + "/*List.csv").values())) == [1, 1, 2]
+    write(folder / "6_SpeciesList.csv", "sort,name\n1,owl\n")
+    with pytest.raises(ValueError, match="english_name"):
+        source.read_species_lists(spark, path, schema=schemas.TAXONOMY)
+
+
+def test_no_lists_at_all(spark, tmp_path):
+    write(tmp_path / "x_SpeciesList.csv", "")
+    assert source.read_species_lists(spark, str(tmp_path)).count() == 0
+
+
+def test_a_workbook_appears_as_a_whole(spark, tmp_path):
+    path = str(tmp_path / "book")
+    assert sink.open_workbook(spark, path) == {}
+    old = spark.createDataFrame([("old",)], "x string")
+    new = spark.createDataFrame([("new",)], "x string")
+    broken = new.select(F.raise_error(F.lit("no third sheet")).cast("string").alias("x"))
+    sink.publish_workbook({"One": old, "Two": old, "Three": old}, path)
+    shown = sink.open_workbook(spark, path)
+    with pytest.raises(Exception, match="no third sheet"):
+        sink.publish_workbook({"One": new, "Two": new, "Three": broken}, path)
+    assert sink.open_workbook(spark, path) == shown
+    assert {spark.read.csv(p, header=True).first()["x"] for p in shown.values()} == {"old"}
+    sink.publish_workbook({"One": new, "Two": new}, path)
+    now = sink.open_workbook(spark, path)
+    assert set(now) == {"One", "Two"}
+    assert {spark.read.csv(p, header=True).first()["x"] for p in now.values()} == {"new"}
+    assert not any((tmp_path / "book").glob(shown["One"].split("/")[-2]))
