@@ -98,6 +98,11 @@ def record_span(dates: DataFrame) -> DataFrame:
     return dates.agg(F.min("obs_date").alias("first_day"), F.max("obs_date").alias("last_day"))
 
 
+def _ends(span: DataFrame) -> Column:
+    """Both ends of a `record_span` as one value, so that the dates are read once for them."""
+    return span.select(F.struct("first_day", "last_day")).scalar()
+
+
 def region_days(regions: DataFrame, days: EventDays | DataFrame) -> DataFrame:
     """Every row of `regions` with every day: of an event, or of a `record_span`.
 
@@ -106,8 +111,8 @@ def region_days(regions: DataFrame, days: EventDays | DataFrame) -> DataFrame:
     if isinstance(days, EventDays):
         every_day = days.as_array()
     else:
-        every_day = F.sequence(days.select("first_day").scalar(),
-                               days.select("last_day").scalar())
+        span = _ends(days)
+        every_day = F.sequence(span["first_day"], span["last_day"])
     return (regions.withColumn("every_day", every_day)
             .select(*regions.columns, F.explode_outer("every_day").alias("obs_date"))
             .where(F.col("obs_date").isNotNull()))
@@ -116,7 +121,7 @@ def region_days(regions: DataFrame, days: EventDays | DataFrame) -> DataFrame:
 def day_number(days: EventDays | DataFrame, day: Column) -> Column:
     if isinstance(days, EventDays):
         return days.number_of(day)
-    return F.date_diff(day, days.select("first_day").scalar()) + 1
+    return F.date_diff(day, _ends(days)["first_day"]) + 1
 
 
 def tag_period(facts: DataFrame, days: EventDays, before: EventDays | None = None) -> DataFrame:

@@ -43,9 +43,13 @@ def headline_observers(daily: DataFrame, days: EventDays | DataFrame, dim: DataF
 
 def days_of_most_observers(daily: DataFrame, days: EventDays | DataFrame) -> DataFrame:
     """Every day that holds a region's maximum, ties included."""
-    highest = daily.groupBy("region").agg(F.max("observers").alias("observers"))
-    return daily.join(highest, ["region", "observers"], "left_semi").select(
-        "region", day_number(days, F.col("obs_date")).cast("bigint").alias("day_no"), "observers")
+    numbered = daily.select("region", "observers", day_number(days, F.col("obs_date")).cast("bigint").alias("day_no"))
+    # Each value keeps its days, as many as the event has at most, and the largest wins.
+    per_value = numbered.groupBy("region", "observers").agg(F.collect_list("day_no").alias("days"))
+    highest = per_value.groupBy("region").agg(
+        F.max(F.struct("observers", "days")).alias("peak"))
+    return highest.select("region", F.explode("peak.days").alias("day_no"),
+                          F.col("peak.observers").alias("observers"))
 
 
 def headline_totals(counts: DataFrame, dim: DataFrame) -> DataFrame:

@@ -252,7 +252,8 @@ _COMBINED = ("SELECT DISTINCT species AS english_name, sort FROM sight"
              " JOIN taxonomy ON english_name = species")
 
 
-def _spec_list_multi() -> str:
+def _spec_list_tables() -> str:
+    """Species by region and event day as flags, in a table `matrix_of_species`."""
     flags = ", ".join(f"CAST(max(CASE WHEN obs_date = DATE '{d}' THEN 1 ELSE 0 END) AS BIGINT)"
                       f" AS day{n}" for n, d in enumerate(_EVENT_DAYS, 1))
     empty = ", ".join(
@@ -260,13 +261,88 @@ def _spec_list_multi() -> str:
         f" s.obs_date = DATE '{d}') THEN 0 ELSE 1 END AS BIGINT) AS day{n}"
         for n, d in enumerate(_EVENT_DAYS, 1))
     some = " + ".join(f"day{n}" for n in range(1, len(_EVENT_DAYS) + 1))
-    return (TABLES + f", seen AS (SELECT region, species, {flags} FROM sight3 WHERE {_EVENT}"
+    return (f", seen AS (SELECT region, species, {flags} FROM sight3 WHERE {_EVENT}"
             f" GROUP BY 1, 2), nothing AS (SELECT code AS region, CAST(NULL AS VARCHAR) AS species,"
             f" {empty} FROM dim), both_kinds AS (SELECT * FROM seen UNION ALL"
-            f" SELECT * FROM nothing WHERE {some} > 0)"
+            f" SELECT * FROM nothing WHERE {some} > 0), matrix_of_species AS ("
             f" SELECT region, name AS region_name, species AS english_name, sort,"
             f" {_day_list(_EVENT_DAYS)} FROM both_kinds JOIN dim ON code = region"
-            f" LEFT JOIN taxonomy ON english_name = species")
+            f" LEFT JOIN taxonomy ON english_name = species)")
+
+
+def _report_sheets_event() -> str:
+    """All sheets of the report on the event's four days for R0 and R1-N6; ZZ is unknown."""
+    days = _day_list(_EVENT_DAYS)
+    return TABLES + _matrix(_EVENT_DAYS) + _spec_list_tables() + f"""
+, places AS (
+  SELECT DISTINCT d.code AS region FROM dim u JOIN dim d
+    ON d.code = u.code OR starts_with(d.code, u.code || '-')
+  WHERE u.code IN ('R0', 'R1-N6') AND NOT (u.level = 0 AND d.level = 2))
+, listed AS (SELECT * FROM matrix_of_species WHERE region IN (FROM places))
+, mine AS (SELECT * FROM matrix WHERE region IN (FROM places))
+, here AS (SELECT * FROM daily WHERE region IN (FROM places))
+, figures AS (SELECT region, region_name, count(*) AS no_days, min(observers) AS min_observers,
+                     max(observers) AS max_observers FROM here GROUP BY 1, 2)
+, peaks AS (SELECT f.*, min(date_diff('day', DATE '{_EVENT_DAYS[0]}', obs_date)) + 1 AS max_day,
+                   count(*) AS days_at_max
+            FROM figures f JOIN here d ON d.region = f.region AND d.observers = f.max_observers
+            GROUP BY ALL)
+, totals AS (SELECT region, region_name, max(all_days) FILTER (total = 'SPECIES') AS species,
+                    max(all_days) FILTER (total = 'CHECKLISTS') AS checklists
+             FROM mine GROUP BY 1, 2)
+, asked AS (SELECT * FROM (VALUES ('R0', 'states/union territories'), ('R1-N6', 'districts'))
+            u(region, which_reg))
+, ranked AS (SELECT region, l.english_name, row_number() OVER (
+               PARTITION BY region ORDER BY endemic DESC, s.sort, l.english_name) AS position
+             FROM listed l JOIN status s ON l.english_name = s.english_name
+             WHERE priority_status = 'High')
+, top AS (SELECT region, count(*) AS no_species, string_agg(english_name, ', ' ORDER BY position)
+          AS names FROM ranked WHERE position <= 10 GROUP BY 1)
+SELECT 'Species list' AS sheet, * FROM listed
+UNION ALL BY NAME SELECT 'Participation' AS sheet, * FROM mine
+UNION ALL BY NAME SELECT CASE total WHEN 'SPECIES' THEN 'Species' ELSE 'Checklists' END
+  || ' by sub-region' AS sheet, regexp_replace(region, '-[^-]*$', '') AS parent, region, region_name,
+  {days}, all_days FROM mine WHERE total <> 'OBSERVERS' AND region LIKE '%-%'
+UNION ALL BY NAME SELECT 'Observers' AS sheet, *, '**Everyday, at least '
+  || format('{{:,}}', min_observers) || ' birdwatchers** from ' || region_name
+  || ' came together for the ' || no_days || ' days (' || format('{{:,}}', max_observers)
+  || ' birdwatchers on Day ' || max_day || '!),' AS statement FROM peaks
+UNION ALL BY NAME SELECT 'Totals' AS sheet, *,
+  '**' || format('{{:,}}', species) || ' species**' AS species_statement,
+  '**' || format('{{:,}}', checklists) || ' checklists**' AS checklists_statement FROM totals
+UNION ALL BY NAME SELECT 'Sub-regions' AS sheet, *, '**' || no_reg || ' ' || which_reg || '**'
+  AS statement FROM (
+    SELECT u.region, u.which_reg, count(*) FILTER (t.checklists > 0) AS no_reg
+    FROM asked u JOIN totals t ON starts_with(t.region, u.region || '-') GROUP BY 1, 2)
+UNION ALL BY NAME SELECT 'Notable' AS sheet, region, coalesce(no_species, 0) AS no_species, names,
+  CASE WHEN names IS NULL THEN '' ELSE 'Among the species reported were the following classed'
+  || ' as of High Priority in the conservation status report: ' || names || '.' END AS statement
+  FROM asked LEFT JOIN top USING (region)
+UNION ALL BY NAME SELECT 'Media' AS sheet, region, 0::BIGINT AS photo, 0::BIGINT AS audio,
+  0::BIGINT AS video, '**0 photos** and **0 sound recordings**' AS statement FROM asked
+UNION ALL BY NAME SELECT 'Links' AS sheet, region,
+  'https://catalogue.example/search?mediaType=photo&sort=rating_rank_desc&obsDtFrom={_EVENT_DAYS[0]}'
+  || '&obsDtTo={_EVENT_DAYS[-1]}&regionCode=' || region AS link FROM asked
+UNION ALL BY NAME SELECT 'Publication' AS sheet, region, 'GBBC' AS event_type,
+  'October 1996' AS next_month,
+  'the final results will be published at the end of October 1996' AS disclaimer FROM asked
+UNION ALL BY NAME SELECT 'Rejected regions' AS sheet, 'ZZ' AS region"""
+
+
+_BROKEN = ("CASE WHEN region LIKE '%-FURNITURE' THEN 1 WHEN region LIKE '%-MACHINERY' THEN 2"
+           " WHEN region LIKE '%-BUILDING' THEN 3 ELSE 0 END")
+
+# What each kind of response tells, and how it is broken: cut off, an error answer, a status.
+_RESPONSES = """
+, media AS (""" + _MEDIA + f""")
+, told AS (
+  SELECT 'participation' AS sheet, region, observers, checklists, species AS no_sp FROM whole
+  UNION ALL BY NAME SELECT DISTINCT 'species' AS sheet, region, species AS english_name FROM sight3
+  UNION ALL BY NAME SELECT 'notable' AS sheet, region, species AS common_name,
+    'S' || min(checklist_id) AS checklist_id FROM sight3 WHERE notable GROUP BY region, species
+  UNION ALL BY NAME SELECT 'media' AS sheet, * FROM media)
+, responses AS (SELECT *, {_BROKEN} AS broken FROM told)
+"""
 
 
 ORACLES: dict[str, str] = {
@@ -295,8 +371,7 @@ WHERE code IN ('R1', 'R0-N5', 'R2-N2-HOUSEHOLD') OR code LIKE 'R1-%' OR code LIK
 SELECT code, name, CAST(level AS BIGINT) AS level FROM dim
 WHERE level < 2 AND (code LIKE '%R1-N1%' OR code LIKE '%N2-H%')""",
     "region_meta": TABLES + """
-SELECT DISTINCT region, CASE WHEN level < 2 THEN name END AS region_name
-FROM chk3 JOIN dim ON code = region""",
+SELECT DISTINCT region, name AS region_name FROM chk3 JOIN dim ON code = region""",
     "participation_by_region_day": TABLES + _daily_counts("record_days") + """
 SELECT region, region_name, CAST(obs_date AS VARCHAR) AS obs_date, observers, checklists, species
 FROM daily""",
@@ -308,6 +383,8 @@ LEFT JOIN (SELECT DISTINCT region, obs_date, species FROM sight3) s
     "notable_sightings": TABLES + """
 SELECT DISTINCT region, species AS common_name, checklist_id FROM sight3 WHERE notable""",
     "media_summary": TABLES + _MEDIA,
+    "media_summary_dates": TABLES.replace("ON user_id = c_custkey)", """ON user_id = c_custkey
+  WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-14')""") + _MEDIA,
     "spec_list_single": TABLES + """
 SELECT CAST(d.obs_date AS VARCHAR) AS obs_date, code AS region, name AS region_name,
        species AS english_name, sort
@@ -315,7 +392,7 @@ FROM dim CROSS JOIN record_days d
 LEFT JOIN (SELECT DISTINCT region, obs_date, species FROM sight3) s
   ON s.region = code AND s.obs_date = d.obs_date
 LEFT JOIN taxonomy ON english_name = species""",
-    "spec_list_multi": _spec_list_multi(),
+    "spec_list_multi": TABLES + _spec_list_tables() + " SELECT * FROM matrix_of_species",
     "part_summ_single": TABLES + _daily_counts("record_days") + """
 SELECT CAST(obs_date AS VARCHAR) AS obs_date, region, region_name, observers, checklists, species
 FROM daily""",
@@ -344,6 +421,25 @@ SELECT species AS common_name, count(DISTINCT checklist_id) AS no_lists,
        count(DISTINCT state_code) AS no_regions, min(state_code) AS region
 FROM sight WHERE notable GROUP BY species""",
     "overall_species_files": TABLES + _COMBINED,
+    "lists_of_any_header": TABLES + _COMBINED,
+    "dimension_files": TABLES + """
+SELECT 'regions' AS sheet, code, CASE WHEN code <> 'R1' THEN name || ', "' || code || '"' END AS name,
+       CAST(level AS BIGINT) AS level FROM dim
+UNION ALL BY NAME SELECT 'codes' AS sheet, * FROM codes
+UNION ALL BY NAME SELECT 'status' AS sheet, old_name || ', "so called"' AS old_name,
+  CASE WHEN priority_status <> 'Low' THEN priority_status END AS priority_status, endemic FROM priority
+UNION ALL BY NAME SELECT 'changes' AS sheet, old_name || ', "so called"' AS old_name, new_name
+  FROM name_change""",
+    "dimension_problems": TABLES + """
+, crowded AS (SELECT old_name, 'new ' || split_part(old_name, ' ', 2) AS new_name FROM name_change
+              UNION ALL SELECT old_name, 'any' FROM priority)
+SELECT 'region_codes' AS dimension, state_code AS key, 'several regions share the code' AS problem
+FROM codes GROUP BY state_code HAVING count(DISTINCT county) > 1
+UNION SELECT 'priority', old_name, 'unknown class' FROM priority
+UNION SELECT 'name_change', new_name, 'several former names' FROM crowded GROUP BY new_name
+HAVING count(DISTINCT old_name) > 1
+UNION SELECT 'name_change', new_name, 'not in the taxonomy' FROM crowded
+WHERE new_name NOT IN (SELECT english_name FROM taxonomy)""",
     "participation_states": TABLES + _states()
     + "SELECT region, region_name, checklists, species, observers FROM states",
     "participation_countries": TABLES + _states() + "SELECT * FROM countries",
@@ -432,6 +528,12 @@ SELECT county_code AS region, count(CASE WHEN event_type = 'view' THEN 1 END) AS
        count(CASE WHEN event_type = 'click' THEN 1 END) AS audio,
        count(CASE WHEN event_type = 'purchase' THEN 1 END) AS video
 FROM uploads WHERE event_type IN ('view', 'click', 'purchase') GROUP BY county_code""",
+    "payload_files": TABLES + _WHOLE + _RESPONSES
+    + "SELECT * EXCLUDE (broken) FROM responses WHERE broken = 0",
+    "payload_rejects": TABLES + _WHOLE + _RESPONSES + """
+SELECT DISTINCT sheet AS batch, region, CASE WHEN broken = 3 THEN 'status'
+       WHEN broken = 1 THEN 'malformed' WHEN sheet IN ('species', 'notable') THEN 'no list'
+       ELSE 'figures missing' END AS reason FROM responses WHERE broken > 0""",
     "payload_props": TABLES + """
 , props_of AS (SELECT event_type, CAST(regexp_extract(props, '^\\{"k": ([0-9]+)\\}$', 1) AS BIGINT)
                AS k FROM events)
@@ -474,4 +576,9 @@ UNION ALL BY NAME SELECT 'Sub-regions' AS sheet, *, '**' || no_reg || ' ' || whi
     FROM (VALUES ('R0', 'states/union territories'), ('R1-N6', 'districts')) u(region, which_reg)
     JOIN figures f ON starts_with(f.region, u.region || '-') GROUP BY 1, 2)
 UNION ALL BY NAME SELECT 'Rejected regions' AS sheet, 'ZZ' AS region""",
+    "report_sheets_event": _report_sheets_event(),
+    "event_from_stored_days": TABLES + _WHOLE.replace(
+        "FROM chk3 GROUP", f"FROM chk3 WHERE {_EVENT} GROUP").replace(
+        "FROM sight3 GROUP", f"FROM sight3 WHERE {_EVENT} GROUP")
+    + "SELECT region, region_name, observers, checklists, species FROM whole",
 }

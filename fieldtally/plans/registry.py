@@ -14,12 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldtally.functions.columns import COUNTRY, QUOTING, STATE, decimal_comma, slashed_date
+from fieldtally import schemas
+from fieldtally.functions.columns import (
+    COUNTRY, DISTRICT, QUOTING, STATE, decimal_comma, slashed_date)
 from fieldtally.operators import calendar, event, regions, report, rollup, tally, taxa
 from fieldtally.operators.calendar import EventDays
 from fieldtally.plans import jobs
+from fieldtally.plans.catalogue import dimension_problems as dimension_problems_of
+from fieldtally.plans.catalogue import keep_dimensions
 from fieldtally.plans.jobs import ReducedFacts, reduce_facts
 from fieldtally.plans.prepare import open_facts, prepare_facts
+from fieldtally.plans.states import open_states, over_days, store_days
 from fieldtally.session import shared_folder
 from fieldtally.sinks import files as sink
 from fieldtally.sources import files as source
@@ -32,6 +37,7 @@ LEAP_MONTH = EventDays.span("1996-02-01", "1996-02-29")
 EARLIER_EVENT = EventDays.span("1995-02-24", "1995-03-01")
 ONE_DAY = EventDays.of("1996-09-17")
 YEAR = EventDays.span("1996-01-01", "1996-12-31")
+MEDIA_DAYS = EventDays.span("2024-01-05", "2024-01-14")
 PATTERNS = ("R1", "R0-N5", "R2-N2-HOUSEHOLD")
 FREE_PATTERNS = ("R1-N1", "N2-H")
 REQUESTED = ("R0", "R1-N6", "ZZ")
@@ -124,8 +130,7 @@ def region_select_free_match(s: StarSurvey) -> DataFrame:
 @_query
 def region_meta(s: StarSurvey) -> DataFrame:
     places = s.checklists().select("place").distinct()
-    return regions.region_meta(tally.at_regions(places).distinct(), s.region_codes(),
-                               districts=False)
+    return regions.region_meta(tally.at_regions(places).distinct(), s.region_codes())
 
 
 # Tallies ----------------------------------------------------------------------
@@ -152,6 +157,12 @@ def media_summary(s: StarSurvey) -> DataFrame:
     return tally.media_summary(s.media_counts(), _regions(s))
 
 
+@_query
+def media_summary_dates(s: StarSurvey) -> DataFrame:
+    """Media that were uploaded on some days."""
+    return tally.media_summary(s.media_counts(MEDIA_DAYS), _regions(s))
+
+
 # Event summaries --------------------------------------------------------------
 
 @_query
@@ -163,7 +174,9 @@ def spec_list_single(s: StarSurvey) -> DataFrame:
 
 @_query
 def spec_list_multi(s: StarSurvey) -> DataFrame:
-    return event.species_list(s.sightings(EVENT), _regions(s), EVENT, s.region_dim(), s.taxonomy())
+    keep_dimensions(s, "taxonomy", "region_dim")
+    seen = reduce_facts(s, EVENT, tally.BY_DAY).seen
+    return event.species_list(seen, _regions(s), EVENT, s.region_dim(), s.taxonomy())
 
 
 @_query
@@ -215,11 +228,13 @@ def _lists(s: StarSurvey) -> DataFrame:
 
 @_query
 def map_priority(s: StarSurvey) -> DataFrame:
+    keep_dimensions(s, "taxonomy")
     return taxa.map_priority(_lists(s), s.name_change(), s.priority())
 
 
 @_query
 def notable_priority_top10(s: StarSurvey) -> DataFrame:
+    keep_dimensions(s, "taxonomy")
     every = taxa.combined_species(_named(s.sightings()), s.taxonomy())
     return taxa.top_priority(taxa.map_priority(every, s.name_change(), s.priority()))
 
@@ -258,6 +273,19 @@ def overall_species_files(s: StarSurvey) -> DataFrame:
     return taxa.combined_species(lists, s.taxonomy())
 
 
+@_query
+def lists_of_any_header(s: StarSurvey) -> DataFrame:
+    """Lists whose columns stand in another order, or among others, are combined all the same."""
+    folder = shared_folder(s.spark, "lists")
+    listed = event.with_taxonomy(_named(tally.species_seen(s.sightings(), (), (COUNTRY,))), s.taxonomy())
+    orders = [("english_name", "sort"), ("sort", "english_name"), ("region", "sort", "english_name")]
+    for code in range(5):
+        of_country = listed.where(F.col("region") == f"R{code}").select(*orders[code % 3])
+        sink.write_csv(of_country, f"{folder}/R{code}, all_SpeciesList.csv")
+    lists = source.read_species_lists(s.spark, folder, schema=schemas.TAXONOMY)
+    return lists.distinct().orderBy(F.col("sort").asc_nulls_last(), "english_name")
+
+
 # Roll-ups ---------------------------------------------------------------------
 
 def _states(s: StarSurvey) -> DataFrame:
@@ -371,6 +399,7 @@ def headline_media(s: StarSurvey) -> DataFrame:
 
 @_query
 def headline_notable(s: StarSurvey) -> DataFrame:
+    keep_dimensions(s, "taxonomy")
     mapped = taxa.map_priority(_lists(s), s.name_change(), s.priority())
     return report.headline_notable(taxa.top_priority_by_region(mapped), _regions(s))
 
@@ -443,6 +472,60 @@ def payload_media(s: StarSurvey) -> DataFrame:
     return payloads.parse_media(responses).rows
 
 
+KINDS = {"participation": payloads.parse_participation, "species": payloads.parse_species,
+         "notable": payloads.parse_notable, "media": payloads.parse_media}
+
+
+def _answers(s: StarSurvey) -> dict[str, DataFrame]:
+    """A response of each kind for each region over the whole record."""
+    entry = F.struct(F.col("species").alias("comName"),
+                     F.concat(F.lit("S"), "checklist_id").alias("subId"))
+    first = tally.at_regions(s.notable()).groupBy("region", "species").agg(
+        F.min("checklist_id").alias("checklist_id"))
+    counts = F.struct(F.col("observers").alias("numContributors"), F.col("checklists").alias(
+        "numChecklists"), F.col("species").alias("numSpecies"))
+    media = tally.media_summary(s.media_counts(), _regions(s))
+    return {
+        "participation": _whole(s).select("region", F.to_json(counts).alias("payload")),
+        "species": tally.species_seen(s.sightings(), ()).groupBy("region").agg(F.to_json(
+            F.collect_set(F.struct(F.col("species").alias("comName")))).alias("payload")),
+        "notable": first.groupBy("region").agg(F.to_json(F.collect_set(entry)).alias("payload")),
+        "media": media.select("region", F.to_json(F.struct("photo", "audio", "video")).alias("payload"))}
+
+
+def _landed(s: StarSurvey) -> dict[str, payloads.Parsed]:
+    """The responses as files, some over several lines, and in some districts broken ones."""
+    folder, parsed = shared_folder(s.spark, "landed"), {}
+    region, payload = F.col("region"), F.col("payload")
+    told = (F.when(region.endswith("-FURNITURE"), payload.substr(F.lit(1), F.length(payload) - 1))
+            .when(region.endswith("-MACHINERY"), F.lit('{"errors": [{"title": "unknown region"}]}'))
+            .when(region.endswith("-HOUSEHOLD"), F.replace(payload, F.lit(","), F.lit(",\n ")))
+            .otherwise(payload))
+    status = F.when(region.endswith("-BUILDING"), 404).otherwise(200)
+    for kind, answers in _answers(s).items():
+        payloads.land_responses(answers.select("region", status.alias("status"), told.alias("payload")),
+                                f"{folder}/{kind}")
+        parsed[kind] = KINDS[kind](payloads.read_responses(s.spark, f"{folder}/{kind}"))
+    return parsed
+
+
+@_query
+def payload_files(s: StarSurvey) -> DataFrame:
+    """What the good ones among landed response files hold, of all four kinds."""
+    names = {"participation": {"species": "no_sp"}, "species": {"species": "english_name"}}
+    return _stacked({kind: parsed.rows.withColumnsRenamed(names.get(kind, {}))
+                     for kind, parsed in _landed(s).items()})
+
+
+@_query
+def payload_rejects(s: StarSurvey) -> DataFrame:
+    """The other ones and why, kept by batch and read again."""
+    folder = shared_folder(s.spark, "rejects")
+    for kind, parsed in _landed(s).items():
+        payloads.keep_rejects(parsed.rejects.select("region", "reason"), folder, kind)
+    return payloads.read_rejects(s.spark, folder)
+
+
 @_query
 def payload_props(s: StarSurvey) -> DataFrame:
     props = F.from_json("props", "k BIGINT")["k"]
@@ -471,6 +554,49 @@ def _stacked(sheets: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
 
 
+@_query
+def dimension_files(s: StarSurvey) -> DataFrame:
+    """Region lists and codes, conservation status and name changes, as their files hold them.
+
+    Names have quotes and commas, some are missing, and headers are of other spelling.
+    """
+    folder = shared_folder(s.spark, "dimensions")
+    odd = F.concat("name", F.lit(', "'), "code", F.lit('"'))
+    dim = s.region_dim().withColumn("name", F.when(F.col("code") != "R1", odd))
+    paths = [f"{folder}/level{level}" for level in (COUNTRY, STATE, DISTRICT)]
+    for level, path in zip((COUNTRY, STATE, DISTRICT), paths, strict=True):
+        sink.write_csv(dim.where(F.col("level") == level).select("name", "code"), path, missing="")
+    capitals = {f.name: f.name.upper().replace("_", ".") for f in schemas.REGION_CODES}
+    s.region_codes().withColumnsRenamed(capitals).write.parquet(f"{folder}/codes")
+    quoted = F.concat("old_name", F.lit(', "so called"'))
+    status = s.priority().select(
+        "endemic", quoted.alias("OLD, NAME"), F.lit("x").alias("extra"),
+        F.when(F.col("priority_status") != "Low", F.col("priority_status")).alias("STATUS"))
+    sink.write_csv(status, f"{folder}/status")
+    sink.write_csv(s.name_change().select(F.col("new_name").alias("NEW"), quoted.alias("OLD")),
+                   f"{folder}/changes")
+    return _stacked({
+        "regions": source.read_region_lists(s.spark, *paths),
+        "codes": source.read_region_codes(s.spark, f"{folder}/codes", capitals),
+        "status": source.read_priority(s.spark, f"{folder}/status", {
+            "old_name": "OLD, NAME", "priority_status": "STATUS"}),
+        "changes": source.read_name_changes(s.spark, f"{folder}/changes", {
+            "old_name": "OLD", "new_name": "NEW"})})
+
+
+@_query
+def dimension_problems(s: StarSurvey) -> DataFrame:
+    """What joins would repeat or lose, in dimensions where districts have one code each state
+    and species of the same kind one former name."""
+    coarse = s.region_codes().withColumn("county_code", F.col("state_code"))
+    crowded = s.name_change().withColumn("new_name", F.concat(F.lit("new "), F.split("old_name", " ")[1]))
+    changed = StarSurvey(s.spark, s.folder)
+    changed.replace("region_codes", coarse)
+    changed.replace("name_change", crowded.union(s.priority().select("old_name", F.lit("any"))))
+    changed.replace("priority", s.priority().withColumn("priority_status", F.lower("priority_status")))
+    return dimension_problems_of(changed)
+
+
 @_query
 def csv_file(s: StarSurvey) -> DataFrame:
     path = shared_folder(s.spark, "csv")
@@ -532,3 +658,20 @@ def report_sheets_one_day(s: StarSurvey) -> DataFrame:
     """A report on an event of one day, with a region that no list knows."""
     sheets = jobs.event_report(_prepared(s, ONE_DAY), ONE_DAY, REQUESTED, EVENT_TYPES[0], CATALOGUE)
     return _stacked({name: sheets[name] for name in REPORTED})
+
+
+@_query
+def report_sheets_event(s: StarSurvey) -> DataFrame:
+    """A report on an event of four days: all its sheets, as their files hold them."""
+    return _stacked(_read_back(s.spark, jobs.event_report(
+        _prepared(s, EVENT), EVENT, REQUESTED, EVENT_TYPES[0], CATALOGUE)))
+
+
+@_query
+def event_from_stored_days(s: StarSurvey) -> DataFrame:
+    """Participation over an event whose days were stored one by one, one of them twice."""
+    folder = shared_folder(s.spark, "states")
+    store_days(s, folder, EVENT)
+    store_days(s, folder, EventDays.of(EVENT.last))
+    facts = over_days(open_states(s.spark, folder, EVENT))
+    return tally.participation_by_region(facts.visits, facts.seen, _regions(s))

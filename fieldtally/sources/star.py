@@ -63,6 +63,10 @@ class StarSurvey:
     folder: str
     _plans: dict = field(default_factory=dict, compare=False, repr=False)
 
+    def replace(self, name: str, plan: DataFrame) -> None:
+        """Takes `plan` for the facts or dimension of this name from now on."""
+        self._plans[name,] = plan
+
     @_once
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")

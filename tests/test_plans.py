@@ -97,3 +97,58 @@ def test_the_comparison_notices_wrong_results(spark):
     assert differences(frame, con, same.replace("BIGINT", "DOUBLE"))
     assert differences(frame, con, same.replace("v(n, t)", "v(n, u)"))
     assert differences(frame, con, same + " UNION ALL SELECT 1, 'a'")
+
+
+def scans_of(frame, table: str) -> int:
+    return len(re.findall(rf"FileScan parquet [^\n]*{table}\.parquet", plan_of(frame)))
+
+
+@pytest.mark.parametrize("name", ["map_priority", "headline_notable", "notable_priority_top10"])
+def test_dimensions_are_derived_from_one_written_table(spark, name):
+    assert scans_of(QUERIES[name](spark, SMALL), "part") <= 1  # the names of the sightings
+
+
+def test_line_items_are_not_scanned_for_each_use(spark):
+    assert scans_of(QUERIES["spec_list_multi"](spark, SMALL), "lineitem") == 0  # reduced and written
+
+
+def test_days_of_most_observers_need_no_second_pass(spark):
+    frame = QUERIES["headline_observers_ties"](spark, SMALL)
+    assert "LeftSemi" not in plan_of(frame)
+    # The checklists, and the ends of the record in three places, of which one is run.
+    assert scans_of(frame, "orders") <= 4
+    frame.collect()
+    assert plan_of(frame).count("ReusedSubquery") >= 2
+
+
+def test_event_checklists_filter_sightings_before_their_shuffle(spark):
+    conf = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    broadcast = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(conf, "0")  # by default only for scans of 10 GB and more
+    spark.conf.set(broadcast, "-1")
+    try:
+        plan = plan_of(StarSurvey(spark, SMALL).sightings(EVENT))
+    finally:
+        spark.conf.unset(conf)
+        spark.conf.unset(broadcast)
+    assert "might_contain" in plan
+
+
+def test_a_stored_day_reads_its_own_facts_and_replaces_only_itself(spark, tmp_path):
+    from fieldtally.operators.calendar import EventDays
+    from fieldtally.plans.states import open_states, over_days, store_days
+    folder, survey = str(tmp_path / "states"), StarSurvey(spark, SMALL)
+    store_days(survey, folder, EVENT)
+    before = {(r["obs_date"], r["place"], r["observer_id"], r["checklists"])
+              for r in open_states(spark, folder).visits.collect()}
+    store_days(survey, folder, EventDays.of(EVENT.first))
+    after = open_states(spark, folder)
+    assert {(r["obs_date"], r["place"], r["observer_id"], r["checklists"])
+            for r in after.visits.collect()} == before
+    one = over_days(after)
+    assert one.visits.agg({"checklists": "sum"}).first()[0] == survey.checklists(EVENT).count()
+    assert "PartitionFilters: [isnotnull(obs_date" in plan_of(
+        open_states(spark, folder, EventDays.of(EVENT.first)).visits)
+    empty = EventDays.of("2050-01-01")
+    store_days(survey, folder, empty)
+    assert open_states(spark, folder, empty).visits.count() == 0
