@@ -432,7 +432,7 @@ UNION ALL BY NAME SELECT 'changes' AS sheet, old_name || ', "so called"' AS old_
   FROM name_change""",
     "dimension_problems": TABLES + """
 , crowded AS (SELECT old_name, 'new ' || split_part(old_name, ' ', 2) AS new_name FROM name_change
-              UNION ALL SELECT old_name, 'any' FROM priority)
+              UNION ALL SELECT old_name, 'any ' || old_name FROM priority)
 SELECT 'region_codes' AS dimension, state_code AS key, 'several regions share the code' AS problem
 FROM codes GROUP BY state_code HAVING count(DISTINCT county) > 1
 UNION SELECT 'priority', old_name, 'unknown class' FROM priority

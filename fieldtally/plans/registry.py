@@ -592,7 +592,7 @@ def dimension_problems(s: StarSurvey) -> DataFrame:
     crowded = s.name_change().withColumn("new_name", F.concat(F.lit("new "), F.split("old_name", " ")[1]))
     changed = StarSurvey(s.spark, s.folder)
     changed.replace("region_codes", coarse)
-    changed.replace("name_change", crowded.union(s.priority().select("old_name", F.lit("any"))))
+    changed.replace("name_change", crowded.union(s.priority().select("old_name", F.concat(F.lit("any "), "old_name"))))
     changed.replace("priority", s.priority().withColumn("priority_status", F.lower("priority_status")))
     return dimension_problems_of(changed)
 
