@@ -61,14 +61,18 @@ def bucket_count(rows: int) -> int:
 
 
 def running_totals(rows: DataFrame, group: str | None, key: str, ties: Sequence[str],
-                   value: Column, buckets: int, span: int = KEY_SPAN) -> DataFrame:
+                   value: Column, buckets: int, span: int = KEY_SPAN,
+                   names: tuple[str, str] = ("before", "total")) -> DataFrame:
     """Adds `before` and `total`: the sums of value over earlier rows and all rows of a group.
 
+    names are what these two are called, where rows may have columns of that name.
+
     The order is by key, which must be spread evenly over [0, span), then by ties. Rows
     are cut into buckets by key, so that a group with most of the rows is spread over all
     tasks, and no task sees more than a bucket: sums of buckets become offsets, and a
     window runs within each bucket of each group.
     """
+    before, total = names
     groups = [group] if group else []
     cut = rows.withColumns({
         "__bucket": F.floor(F.col(key) / F.lit(span / buckets)).cast("int"), "__value": value})
@@ -79,12 +83,12 @@ def running_totals(rows: DataFrame, group: str | None, key: str, ties: Sequence[
         *groups, "__bucket",
         F.coalesce(F.sum("__sum").over(along.orderBy("__bucket").rowsBetween(*earlier)),
                    F.lit(0)).alias("__offset"),
-        F.sum("__sum").over(along).alias("total"))
+        F.sum("__sum").over(along).alias(total))
     within = Window.partitionBy("__bucket", *groups).orderBy(key, *ties).rowsBetween(*earlier)
     local = cut.repartition("__bucket").withColumn(
         "__local", F.coalesce(F.sum("__value").over(within), F.lit(0)))
     return (local.join(offsets, ["__bucket", *groups])
-            .withColumn("before", F.col("__local") + F.col("__offset"))
+            .withColumn(before, F.col("__local") + F.col("__offset"))
             .drop("__bucket", "__value", "__local", "__offset"))
 
 

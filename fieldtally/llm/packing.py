@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldtally.llm.common import with_columns_of
-from fieldtally.llm.tokens import ids_of, tokenizer_path
+from fieldtally.llm.tokens import marked_ids_of, tokenizer_path
 
 SEQUENCE = 2048
 END = 1
@@ -99,7 +99,8 @@ def pack(docs: DataFrame, length: int = SEQUENCE, end: int = END,
     partition tokenises and packs as its rows stream through; sequence_id joins the
     partition's number and a count. Only doc_id and text are used. Null and empty texts
     are one end id; rows alike in both columns each have their pieces; a very long text
-    is cut over as many sequences as it takes. An empty table gives an empty result.
+    is cut over as many sequences as it takes. A text that holds the string of an added
+    token of the file has that token's id there. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     path = tokenizer or tokenizer_path()
@@ -115,7 +116,7 @@ def pack(docs: DataFrame, length: int = SEQUENCE, end: int = END,
              "doc_tokens": pa.int64(), "sequence_id": pa.int64(), "offset": pa.int64()}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = ids_of(path)
+        encode = marked_ids_of(path)
         sequence, used = TaskContext.get().partitionId() << 33, 0
         last = np.array([end], dtype="<u4").tobytes()
         rows: list[tuple] = []

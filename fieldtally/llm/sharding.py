@@ -19,7 +19,8 @@ def shard_documents(docs: DataFrame, shards: int, seed: int = 20) -> DataFrame:
     holds the sources in their shares to within a row each, so it is cut into shards
     whose counts differ by one at most; slot counts from 0 within a shard.
 
-    All columns are passed on; columns named shard or slot are replaced. A null source
+    All columns are passed on, whatever their names (but for a leading `__`, which is
+    kept for the operator's own); columns named shard or slot are replaced. A null source
     is a source of its own, a null doc_id orders like an empty one. Ties are broken by
     doc_id, then by the remaining columns, so only rows alike in all of them may change
     places. An empty table gives an empty result; with fewer rows than shards some
@@ -35,16 +36,17 @@ def shard_documents(docs: DataFrame, shards: int, seed: int = 20) -> DataFrame:
     drawn = docs.withColumns({
         "__source": group_key(F.col("source")),
         "__drawn": shuffle_key(F.lit(seed), F.col("doc_id"))})
-    ranked = running_totals(drawn, "__source", "__drawn", ties, F.lit(1), buckets)
+    ranked = running_totals(drawn, "__source", "__drawn", ties, F.lit(1), buckets,
+                            names=("__rank", "__count"))
     placed = ranked.withColumn("__fraction", F.floor(
-        (2 * F.col("before") + 1) / (2 * F.col("total")) * F.lit(float(KEY_SPAN))).cast("bigint"))
-    placed = placed.drop("total").withColumnRenamed("before", "__rank")
-    ordered = running_totals(placed, None, "__fraction", ["__source", "__rank"], F.lit(1), buckets)
-    shard = F.expr(f"(before * {shards}) div {rows}")
-    slot = F.col("before") - F.expr(f"(shard * {rows}L + {shards - 1}) div {shards}")
+        (2 * F.col("__rank") + 1) / (2 * F.col("__count")) * F.lit(float(KEY_SPAN))).cast("bigint"))
+    ordered = running_totals(placed, None, "__fraction", ["__source", "__rank"], F.lit(1), buckets,
+                             names=("__place", "__rows"))
+    shard = F.expr(f"(__place * {shards}) div {rows}")
+    slot = F.col("__place") - F.expr(f"(shard * {rows}L + {shards - 1}) div {shards}")
     return (ordered.withColumn("shard", shard).withColumn("slot", slot)
             .withColumn("shard", F.col("shard").cast("int"))
-            .drop("__source", "__drawn", "__fraction", "__rank", "before", "total"))
+            .drop("__source", "__drawn", "__fraction", "__rank", "__count", "__place", "__rows"))
 
 
 def write_shards(sharded: DataFrame, folder: str, slots_per_file: int = 1_000_000) -> None:

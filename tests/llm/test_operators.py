@@ -10,10 +10,11 @@ import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from fieldtally.llm import embeddings, exact, mixing, packing, sharding, simhash
 from fieldtally.llm.common import bucket_count, components, running_totals
-from fieldtally.llm.tokens import ids_of, tokenizer_path
+from fieldtally.llm.tokens import ids_of, marked_ids_of, tokenizer_path
 
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -105,8 +106,12 @@ def test_shards_by_the_plain_rule(documents):
 
 
 def test_shards_of_odd_and_empty_tables(odd, documents):
-    rows = rows_of(sharding.shard_documents(odd, 400))
-    assert len(rows) == odd.count()
+    named = odd.withColumns({"total": F.col("n_chars") * 3, "block": F.lit("b")})
+    rows = rows_of(sharding.shard_documents(named, 400))
+    passed = [c for c in named.columns if c not in ("shard", "slot")]
+    tell = lambda found: Counter(tuple(r[c] for c in passed) for r in found)
+    assert tell(rows) == tell(rows_of(named))
+    assert set(rows[0]) == set(named.columns)
     check_shards(rows, 400)
     assert sharding.shard_documents(documents.limit(0), 4).count() == 0
 
@@ -339,7 +344,7 @@ def test_exact_of_odd_rows_keeps_one_a_class(odd):
 @pytest.mark.parametrize("which", ["documents", "odd"])
 def test_pieces_hold_each_id_once(which, request):
     docs = request.getfixturevalue(which)
-    encode = ids_of(tokenizer_path())
+    encode = marked_ids_of(tokenizer_path())
     end = np.array([1], dtype="<u4").tobytes()
     pieces = rows_of(packing.pack(docs, length=64))
     want = Counter((r["doc_id"], zlib.crc32(encode(r["text"] or "") + end)) for r in rows_of(docs))
@@ -388,6 +393,16 @@ def test_ids_are_the_vocabulary_s(documents):
         assert encode(text) == ids.tobytes()
 
 
+def test_added_tokens_have_their_ids():
+    encode = marked_ids_of(tokenizer_path())
+    reader = Tokenizer.from_file(tokenizer_path())
+    mark = "<|endoftext|>"
+    for text in ("hi " + mark + " there", mark, mark * 2, mark + "\n\n  x", "x  " + mark, "a" + mark + "b",
+                 "<|endoftext", "<|endoftext|", "<" + mark + ">", "", " ", "x \n " + mark + " \n y"):
+        want = reader.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encode(text), dtype="<u4").tolist() == want
+
+
 def test_packing_an_empty_table(documents):
     assert packing.pack(documents.limit(0)).count() == 0
 
