@@ -581,4 +581,23 @@ UNION ALL BY NAME SELECT 'Rejected regions' AS sheet, 'ZZ' AS region""",
         "FROM chk3 GROUP", f"FROM chk3 WHERE {_EVENT} GROUP").replace(
         "FROM sight3 GROUP", f"FROM sight3 WHERE {_EVENT} GROUP")
     + "SELECT region, region_name, observers, checklists, species FROM whole",
+    "distinct_so_far": TABLES + f"""
+SELECT code AS region, name AS region_name, CAST(until AS VARCHAR) AS obs_date,
+       (SELECT count(DISTINCT observer_id) FROM chk3
+        WHERE region = code AND {_EVENT} AND obs_date <= until) AS observers,
+       (SELECT count(DISTINCT species) FROM sight3
+        WHERE region = code AND {_EVENT} AND obs_date <= until) AS species
+FROM dim, (SELECT CAST(unnest({_EVENT_DAYS}) AS DATE) AS until)""",
+    "distinct_by_period": TABLES + """,
+periods AS (
+  SELECT obs_date, unnest([strftime(obs_date, '%Y-%m'), strftime(obs_date, '%Y'), 'all']) AS period
+  FROM (SELECT DISTINCT obs_date FROM chk)),
+observed AS (
+  SELECT region, period, count(DISTINCT observer_id) AS observers
+  FROM chk3 JOIN periods USING (obs_date) GROUP BY region, period),
+listed AS (
+  SELECT region, period, count(DISTINCT species) AS species
+  FROM sight3 JOIN periods USING (obs_date) GROUP BY region, period)
+SELECT region, period, coalesce(observers, 0) AS observers, coalesce(species, 0) AS species
+FROM observed FULL JOIN listed USING (region, period)""",
 }

@@ -17,14 +17,15 @@ from pyspark.sql import types as T
 from fieldtally import schemas
 from fieldtally.functions.columns import (
     COUNTRY, DISTRICT, QUOTING, STATE, decimal_comma, slashed_date)
-from fieldtally.operators import calendar, event, regions, report, rollup, tally, taxa
+from fieldtally.operators import calendar, distinct, event, regions, report, rollup, tally, taxa
 from fieldtally.operators.calendar import EventDays
 from fieldtally.plans import jobs
 from fieldtally.plans.catalogue import dimension_problems as dimension_problems_of
 from fieldtally.plans.catalogue import keep_dimensions
 from fieldtally.plans.jobs import ReducedFacts, reduce_facts
 from fieldtally.plans.prepare import open_facts, prepare_facts
-from fieldtally.plans.states import open_states, over_days, store_days
+from fieldtally.plans.states import (
+    kept_numbers, open_sets, open_states, over_days, store_days, store_sets)
 from fieldtally.session import shared_folder
 from fieldtally.sinks import files as sink
 from fieldtally.sources import files as source
@@ -675,3 +676,47 @@ def event_from_stored_days(s: StarSurvey) -> DataFrame:
     store_days(s, folder, EventDays.of(EVENT.last))
     facts = over_days(open_states(s.spark, folder, EVENT))
     return tally.participation_by_region(facts.visits, facts.seen, _regions(s))
+
+
+@_query
+def distinct_so_far(s: StarSurvey) -> DataFrame:
+    """Observers and species of each region up to each day, from sets stored as days came in."""
+    folder = shared_folder(s.spark, "states")
+    for days in (EventDays.span(EVENT.first, EVENT.days[1]), EventDays.span(EVENT.days[2], EVENT.last),
+                 EventDays.of(EVENT.first)):
+        store_days(s, folder, days)
+        store_sets(s.spark, folder, days)
+    found = calendar.region_days(_regions(s), EVENT)
+    cells = found.columns
+    for column, name in (("observer_id", "observers"), ("species", "species")):
+        sets = tally.at_regions(open_sets(s.spark, folder, column, EVENT))
+        found = found.join(distinct.sizes_so_far(sets, EVENT.days, ("region",), name),
+                           ["region", "obs_date"], "left")
+    return found.select(*cells, *(F.coalesce(n, F.lit(0)).alias(n) for n in ("observers", "species")))
+
+
+@_query
+def distinct_by_period(s: StarSurvey) -> DataFrame:
+    """Observers and species of each region by month, by year and over the whole record.
+
+    Months are sets of the facts; years are merged from months, the record from years.
+    """
+    folder = shared_folder(s.spark, "numbers")
+    month = F.date_format("obs_date", "yyyy-MM").alias("period")
+    facts = reduce_facts(s, None, tally.BY_DAY)
+    counts = []
+    for rows, column, name in ((facts.visits, "observer_id", "observers"),
+                               (facts.seen, "species", "species")):
+        numbers = kept_numbers(rows, column, folder)
+        sets = distinct.as_sets(rows.select("place", month, column), numbers, column,
+                                ("place", "period"))
+        months = sink.written(distinct.merged_sets(
+            tally.at_regions(sets), ("region", "period")), "months")
+        years = sink.written(distinct.merged_sets(months.withColumn(
+            "period", F.substring("period", 1, 4)), ("region", "period")), "years")
+        whole = years.withColumn("period", F.lit("all"))
+        counts.append(distinct.set_sizes(
+            months.unionByName(years).unionByName(whole), ("region", "period"), name))
+    both = counts[0].join(counts[1], ["region", "period"], "full")
+    return both.select("region", "period", *(
+        F.coalesce(n, F.lit(0)).alias(n) for n in ("observers", "species")))

@@ -8,9 +8,11 @@ from pyspark.sql import types as T
 
 from fieldtally import schemas
 from fieldtally.operators.calendar import EventDays, days_of
+from fieldtally.operators.distinct import as_sets, first_places, numbered
 from fieldtally.operators.tally import BY_DAY
 from fieldtally.plans.jobs import ReducedFacts
-from fieldtally.sinks.files import write_day
+from fieldtally.session import folder_exists
+from fieldtally.sinks.files import write_day, written
 from fieldtally.sources.facts import Survey
 from fieldtally.sources.files import read_facts
 
@@ -18,6 +20,8 @@ from fieldtally.sources.files import read_facts
 VISITS = T.StructType([*(schemas.CHECKLISTS[c] for c in ("observer_id", "place", "obs_date")),
                        T.StructField("checklists", T.LongType())])
 SEEN = T.StructType([schemas.SIGHTINGS[c] for c in ("place", "obs_date", "species")])
+SETS = T.StructType([*(schemas.SIGHTINGS[c] for c in ("place", "obs_date")),
+                     T.StructField("part", T.LongType()), T.StructField("bits", T.BinaryType())])
 
 
 def store_days(survey: Survey, folder: str, days: EventDays) -> None:
@@ -45,3 +49,36 @@ def over_days(facts: ReducedFacts) -> ReducedFacts:
     visits: DataFrame = facts.visits.groupBy("observer_id", "place").agg(
         F.sum("checklists").alias("checklists"))
     return ReducedFacts(visits, facts.seen.select("place", "species").distinct())
+
+
+def kept_numbers(rows: DataFrame, column: str, folder: str) -> DataFrame:
+    """The numbers of all values so far; values that have none are given the next ones.
+
+    A number is kept for good, so sets of different days fit together. Values that are
+    there already are not written again, so a job that failed may be run again; two jobs
+    must not add values to one folder at a time.
+    """
+    spark, path = rows.sparkSession, f"{folder.rstrip('/')}/numbers/{column}"
+    values, after = first_places(rows, column), 0
+    if folder_exists(spark, path):
+        known = spark.read.parquet(path)
+        after = known.agg(F.max("number")).first()[0] or 0
+        values = values.join(known, column, "left_anti")
+    numbered(written(values, f"values-{column}"), column, after).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
+def store_sets(spark: SparkSession, folder: str, days: EventDays) -> None:
+    """Keeps the observers and species of each place on stored days as sets, a folder a day."""
+    facts = open_states(spark, folder, days)
+    for rows, column in ((facts.visits, "observer_id"), (facts.seen, "species")):
+        numbers = kept_numbers(rows, column, folder)
+        for day in days.days:
+            write_day(as_sets(days_of(rows, EventDays.of(day)), numbers, column,
+                              ("place", "obs_date")), f"{folder}/sets/{column}", day)
+
+
+def open_sets(spark: SparkSession, folder: str, column: str,
+              days: EventDays | None = None) -> DataFrame:
+    """The stored sets of one kind, of an event's days or of all."""
+    return days_of(read_facts(spark, f"{folder}/sets/{column}", SETS), days)

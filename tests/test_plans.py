@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from fieldtally import schemas
 from fieldtally.operators import calendar, regions, tally
@@ -152,3 +153,34 @@ def test_a_stored_day_reads_its_own_facts_and_replaces_only_itself(spark, tmp_pa
     empty = EventDays.of("2050-01-01")
     store_days(survey, folder, empty)
     assert open_states(spark, folder, empty).visits.count() == 0
+
+
+def test_numbers_are_kept_and_sets_merge_exactly(spark, tmp_path):
+    from fieldtally.operators import distinct
+    from fieldtally.plans.states import kept_numbers
+    folder = str(tmp_path / "sets")
+    rows = [(f"o{(i * 37) % 900}", f"R{i % 3}-N{i % 2}", i % 5) for i in range(4000)]
+    rows += [(None, "R0-N0", 1), ("everywhere", None, 1), ("hot", "R0-N0", 2)] + [("hot", "R1-N1", 4)] * 500
+    facts = spark.createDataFrame(rows, "value string, place string, day int")
+    first = kept_numbers(facts.where("day < 2"), "value", folder)
+    before = {r["value"]: r["number"] for r in first.collect()}
+    numbers = kept_numbers(facts, "value", folder)
+    after = {r["value"]: r["number"] for r in numbers.collect()}
+    assert before.items() <= after.items()
+    assert sorted(after.values()) == list(range(1, len({r[0] for r in rows if r[0]}) + 1))
+    kept_numbers(facts, "value", folder)
+    assert spark.read.parquet(f"{folder}/numbers/value").count() == len(after)
+
+    wide = numbers.withColumn("number", F.col("number") * 7919)  # sets of many rows
+    for numbers in (numbers, wide):
+        sets = distinct.as_sets(facts, numbers, "value", ("place", "day"))
+        for by in ((), ("day",), ("place",)):
+            got = {r[:-1]: r[-1] for r in distinct.set_sizes(sets, by, "n").collect()}
+            want = {}
+            for value, place, day in rows:
+                if value:
+                    key = tuple({"day": day, "place": place}[b] for b in by)
+                    want.setdefault(key, set()).add(value)
+            assert got == {k: len(v) for k, v in want.items()}
+    assert distinct.set_sizes(distinct.as_sets(
+        facts.limit(0), numbers, "value", ("place",)), ("place",), "n").count() == 0
