@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -30,6 +31,10 @@ CHUNK_BYTES = 8 << 20
 CHUNK_DOCS = 8192
 #: Windows that a task remembers; beyond it, or beyond 16 links for each, it starts anew.
 MOST_WINDOWS = 200_000
+#: Letters of text whose ids a task remembers, besides those of the document at hand.
+MOST_LETTERS = 8 << 20
+#: A space behind a letter or mark, where no token of either vocabulary runs on.
+CUT = re.compile(r"(?<=\S) ")
 #: Ids of the second vocabulary start here in keys and codes.
 SECOND = 1 << 20
 
@@ -107,8 +112,54 @@ class Aligner:
         # Each id as text with what follows it: a comma, or the end of its side of a group.
         self.first_told = [[f"{n}{mark}" for n in range(len(self.first))] for mark in ",|"]
         self.second_told = [[f"{n}{mark}" for n in range(len(self.second))] for mark in ",;"]
+        # Merges never run over a cut if no piece holds a space behind something else.
+        self.space = self.model.piece_to_id("▁")
+        self.cuttable = self.space != self.model.unk_id() and not any(
+            b" " in piece.lstrip(b" ") for piece in self.second)
         self.most_windows = most_windows
         self.forget()
+        self.forget_parts()
+
+    def forget_parts(self) -> None:
+        self.first_ids: dict[str, bytes] = {}
+        self.second_ids: dict[str, bytes] = {}
+        self.changed: set[str] = set()
+        self.letters = 0
+
+    def learn_parts(self, parts: list[str]) -> None:
+        """Tokenises the new among a text's parts and remembers their ids.
+
+        Those that end in a letter or mark are tokenised in one go, with the space before
+        each, as the places where they meet are cuts again.
+        """
+        if self.letters > MOST_LETTERS:
+            self.forget_parts()
+        new = [p for p in dict.fromkeys(parts) if p not in self.first_ids]
+        self.letters += sum(map(len, new)) + 16 * len(new)
+        inner = [p for p in new if self.cuttable and p and not p[-1].isspace()]
+        if inner:
+            whole = " " + " ".join(inner)
+            first = np.frombuffer(self.encode(whole), dtype="<u4")
+            second = np.array(self.model.encode(whole[1:]), dtype="<u4")
+            if self.gives_back(first, second, whole.encode()):
+                ends = np.cumsum([len(p.encode()) + 1 for p in inner])
+                for ids, lengths, known in ((first, self.first_length, self.first_ids),
+                                            (second, self.second_length, self.second_ids)):
+                    cuts = (4 * np.searchsorted(lengths[ids].cumsum(), ends) + 4).tolist()
+                    told = ids.tobytes()
+                    known.update(zip(inner, map(
+                        told.__getitem__, map(slice, [0, *cuts], cuts)), strict=True))
+                new = [p for p in new if p not in self.first_ids]
+        for part in new:
+            first = np.frombuffer(self.encode(" " + part), dtype="<u4")
+            second = np.array(self.model.encode(part) or [self.space], dtype="<u4")
+            self.first_ids[part], self.second_ids[part] = first.tobytes(), second.tobytes()
+            if not self.gives_back(first, second, (" " + part).encode()):
+                self.changed.add(part)
+
+    def gives_back(self, first: np.ndarray, second: np.ndarray, whole: bytes) -> bool:
+        return (b"".join(map(self.first.__getitem__, first.tolist())) == whole
+                and b"".join(map(self.second.__getitem__, second.tolist())) == whole)
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
@@ -152,18 +203,27 @@ class Aligner:
         self.codes[begin:begin + len(found.codes)] = found.codes
 
     def tokens(self, body: bytes) -> tuple[np.ndarray, np.ndarray] | None:
-        """Both texts' ids, or nothing for a text that either does not give back."""
+        """Both texts' ids, or nothing for a text that either does not give back.
+
+        The whole text is tokenised by both, in parts cut where neither vocabulary has a
+        token that runs on: the first splits before such a space, the second has no piece
+        with a space inside. So the ids are those of the text in one go, and parts that
+        come again need not be tokenised again.
+        """
         try:
             text = body.decode()
         except UnicodeDecodeError:
             return None
         if not text:
             return None
-        whole = b" " + body
-        first = np.frombuffer(self.encode(" " + text), dtype="<u4")
-        second = np.array(self.model.encode(text), dtype=np.uint32)
-        if (b"".join(map(self.first.__getitem__, first.tolist())) != whole
-                or b"".join(map(self.second.__getitem__, second.tolist())) != whole):
+        parts = CUT.split(text) if self.cuttable else [text]
+        told = list(map(self.first_ids.get, parts))
+        if None in told:
+            self.learn_parts(parts)
+            told = list(map(self.first_ids.__getitem__, parts))
+        first = np.frombuffer(b"".join(told), dtype="<u4")
+        second = np.frombuffer(b"".join(map(self.second_ids.__getitem__, parts)), dtype="<u4")
+        if not self.changed.isdisjoint(parts) and not self.gives_back(first, second, b" " + body):
             return None
         return first, second
 

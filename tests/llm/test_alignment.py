@@ -11,7 +11,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from fieldtally.llm.alignment import Aligner, align, align_tokens, byte_tokens, piece_model, piece_path
-from fieldtally.llm.tokens import tokenizer_path
+from fieldtally.llm.tokens import ids_of, tokenizer_path
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -88,6 +88,27 @@ def test_counts_and_groups_equal_a_plain_version(spark):
         assert pairs.agg({"count": "sum"}).first()[0] == sum(w[3] for w in want.values())
 
 
+def test_ids_of_parts_are_those_of_whole_texts(monkeypatch):
+    rng = random.Random(81)
+    marks = ["a", "Zürich", "don't", "'s", "!", "…", "12", "世", "🙂", "\u0301", "▁", " ", "  ", "   ",
+             "\n", "\n\n", "\t", "\r\n", "\xa0", "\u2009", "\u3000", "\x1c", "\x85", "\u200b",
+             "<|endoftext|>", "<0x41>"]
+    texts = ["".join(rng.choices(marks, k=rng.randrange(1, 30))) for _ in range(4000)]
+    encode, (model, pieces) = ids_of(tokenizer_path()), piece_model(piece_path())
+    for most_letters in (8 << 20, 50):
+        monkeypatch.setattr("fieldtally.llm.alignment.MOST_LETTERS", most_letters)
+        aligner = Aligner(tokenizer_path(), piece_path())
+        for text in texts:
+            second = model.encode(text)
+            found = aligner.tokens(text.encode())
+            if b"".join(pieces[i] for i in second) != b" " + text.encode():
+                assert found is None
+            else:
+                assert found[0].tobytes() == encode(" " + text)
+                assert found[1].tolist() == second
+            assert aligner.letters <= most_letters + 1000
+
+
 def test_the_memory_of_windows_is_bounded():
     aligner = Aligner(tokenizer_path(), piece_path(), most_windows=50)
     for n in range(200):
