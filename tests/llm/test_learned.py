@@ -167,6 +167,91 @@ def test_quotes_depth_and_missing_ends(page, text):
     assert html.main_text(page) == text
 
 
+ARTICLE = ("<h1>Head</h1><p>" + "This is a sentence, with some words in it. " * 6
+           + "</p><p>Another, shorter one of the text.</p>")
+ARTICLE_TEXT = ("Head\n\n" + ("This is a sentence, with some words in it. " * 6).strip()
+                + "\n\nAnother, shorter one of the text.")
+COMMENTS = "<div class=comment><p>" + "I, too, think so; it is right. " * 40 + "</p></div>"
+
+
+@pytest.mark.parametrize("page, more", [
+    (f"<body><ul><li><a href=/>Home</a></ul><div class='elementor-widget-text-editor'>{ARTICLE}</div>", ""),
+    (f"<body><form id=page><div>{ARTICLE}</div><div>(c) 2024 Example.</div></form>", ""),
+    (f"<article>{ARTICLE}<p class='flip-side'>Real words, here.</p><div class='foot-note'>A note, to the text, "
+     "long enough to be one.</div></article>",
+     "\n\nReal words, here.\n\nA note, to the text, long enough to be one."),
+    (f"<article>{ARTICLE}<div class='social-science'>More words, of the text.</div></article>",
+     "\n\nMore words, of the text."),
+    (f"<main>{ARTICLE}<div><a href=/a>One</a> <a href=/b>Two</a></div><div>Buy now! 50% off</div></main>", ""),
+    (f"<div><a href=/>Home</a> | <a href=/x>News</a></div><div>{ARTICLE}<h2>Next</h2><ul><li>milk<li>eggs</ul>"
+     "</div><div>(c) 2024 Example.</div>", "\n\nNext\n\nmilk\n\neggs"),
+    (f"<body><div>{ARTICLE}</div><div class='post-comments-list'>{COMMENTS * 9}</div>", ""),
+    (f"<body class='with-sidebar'><div class='has-sidebar'>{ARTICLE}</div><div id=adSlot><p>Buy, now.</p></div>", "")])
+def test_pages_without_telling_parts(page, more):
+    assert html.main_text(page) == ARTICLE_TEXT + more
+
+
+def test_text_in_links_alone_is_not_lost():
+    assert html.main_text("<body><ul><li><a href=/>Home</a></ul></body>") == "Home"
+
+
+def test_names_decide_little(monkeypatch):
+    page = f"<body><nav>Menu</nav><div class=ad>Buy now.</div><article>{ARTICLE}</article><div>&copy; us</div>"
+    assert html.main_text(page) == ARTICLE_TEXT
+    monkeypatch.setattr(html, "ASIDE_NAMES", set())
+    assert html.main_text(page) == ARTICLE_TEXT
+
+
+def plain_scores(page):
+    """Scores by loops over all blocks for each block, as the docstring states them."""
+    blocks = [b for b in page.blocks if not b.aside]
+
+    def above(element):
+        found = [element]
+        while found[-1]:
+            found.append(page.holder[found[-1]])
+        return found
+
+    def size(element, weight):
+        return sum(weight(b) for b in blocks if element in above(b.element))
+
+    everything = size(0, lambda b: len(b.text))
+    framed = any(t == "form" and 2 * size(e, lambda b: len(b.text)) >= everything for e, t in enumerate(page.tags))
+
+    def factor(b):
+        path = page.paths[b.path]
+        return 0.01 ** (path.marks + (0 if framed else path.forms))
+
+    sizes = {e: size(e, lambda b: len(b.text) * factor(b)) for e, t in enumerate(page.tags) if t in ("article", "main")}
+    most = max(sizes.values(), default=0)
+    root = min(e for e, n in sizes.items() if n == most) if most else None
+
+    def own(path):
+        texts = [b.text for b in blocks if b.path == path]
+        marks = sum(t.count(m) for t in texts for m in ".,;:!?")
+        return sum(map(len, texts)) / len(texts) * (1 + marks / len(texts))
+
+    found = {}
+    for b in blocks:
+        part = [c for c in blocks if c.part == b.part]
+        free = sum(len(c.text) - c.linked for c in part)
+        mean = sum((len(c.text) - c.linked) * own(c.path) for c in part) / free if free else 0
+        alike = [c for c in part if c.path == b.path]
+        linked = sum(c.linked for c in alike) / sum(len(c.text) for c in alike)
+        beside = 0.01 if root is not None and root not in above(b.part) else 1
+        found[b.path, b.part] = (own(b.path) + mean) / 2 * (1 - linked) ** 2 * factor(b) * beside
+    return found
+
+
+@pytest.mark.parametrize("page", [
+    PAGE % f"<article>{ARTICLE}</article>", PAGE % f"<div>{ARTICLE}<p><a href=/>All</a> of it.</div>",
+    f"<form><div>{ARTICLE}</div><fieldset>Name</fieldset></form><p class=notice>Old, now.</p>",
+    f"<main><article>{ARTICLE}</article><article class=x><p>Short.</p></article></main><div class=ad>Buy.</div>"])
+def test_path_scores_are_the_plain_ones(page):
+    found = html.page_of(page)
+    assert html.path_scores(found)[1] == pytest.approx(plain_scores(found))
+
+
 def test_fractions_and_raised_digits_are_no_letters():
     assert language.words_of("½ ² Ⅷ 12") == []
     assert language.words_of("Ab c½") == ["ab", "c½"]
