@@ -21,9 +21,11 @@ SAMPLE_BYTES = 6_000_000
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 START = "▁"
-MOST_LETTERS = 7
-#: Words are summed over in stretches of so many letters, which keeps the sums above zero.
-STRETCH = 32
+#: Words up to so many letters, with the mark of their start, are summed many at a time as plain
+#: numbers, which stay above zero; longer ones one at a time in logs. Both sums are the same.
+LONG = 40
+#: Letters of a long word whose pieces are looked up at a time.
+PART = 4096
 ROUNDS = 3
 #: The share of a language's probability that is spread over all pieces, seen or not.
 SPREAD = 1e-3
@@ -42,8 +44,7 @@ def vocabulary(path: str) -> list[str]:
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())
               if not model.is_byte(i) and not model.is_control(i) and not model.is_unknown(i)}
-    return sorted(p for p in pieces if len(p) <= MOST_LETTERS
-                  and (p.removeprefix(START).isalpha() or p == START))
+    return sorted(p for p in pieces if p.removeprefix(START).isalpha() or p == START)
 
 
 def words_of(text: str | None) -> list[str]:
@@ -64,11 +65,12 @@ def _rolled(codes: np.ndarray, length: int, held: np.ndarray | None) -> np.ndarr
 
 
 class Lattice:
-    """Which pieces a word is made of, at every place."""
+    """Which pieces a word is made of, at every place. Pieces of any length count."""
 
     def __init__(self, pieces: Sequence[str]) -> None:
         self.tables = []
-        for length in range(1, MOST_LETTERS + 1):
+        self.most = max(map(len, pieces), default=1)
+        for length in range(1, self.most + 1):
             numbers = [i for i, p in enumerate(pieces) if len(p) == length]
             names = [pieces[i] for i in numbers] or [START * length]
             codes = _codes(names, length)
@@ -80,24 +82,42 @@ class Lattice:
             self.tables.append((hashes[order], np.array(numbers or [-1])[order]))
         self.missing = len(pieces)
 
+    def _numbers(self, held: np.ndarray, length: int) -> np.ndarray:
+        hashes, numbers = self.tables[length - 1]
+        at = np.minimum(np.searchsorted(hashes, held), len(hashes) - 1)
+        found = np.where(hashes[at] == held, numbers[at], self.missing)
+        return np.where(found < 0, self.missing, found)
+
+    def parts(self, word: str):
+        """Tables of piece numbers for successive letters of a word: a row for each place
+        where a piece may end, a column for each length of the piece."""
+        for begin in range(0, len(word), PART):
+            end = min(begin + PART, len(word))
+            first = max(0, begin - self.most + 1)
+            codes = _codes([word[first:end]], end - first)
+            ends = np.full((end - first, self.most), self.missing)
+            held = None
+            for length in range(1, min(self.most, end - first) + 1):
+                held = _rolled(codes, length, held)
+                ends[length - 1:, length - 1] = self._numbers(held[0], length)
+            yield ends[begin - first:]
+
     def groups(self, words: Sequence[str]):
         """(positions of words, number of letters, {(length, place): (rows, piece numbers)}).
 
-        Only rows with a piece there are listed; of single letters, all are.
+        Only rows with a piece there are listed; of single letters, all are. Long words
+        are left out.
         """
-        stretches = [(i, (START + w)[b:b + STRETCH]) for i, w in enumerate(words)
-                     for b in range(0, len(w) + 1, STRETCH)]
+        marked = [(i, START + w) for i, w in enumerate(words) if len(w) < LONG]
         by_length: dict[int, list[tuple[int, str]]] = {}
-        for i, stretch in stretches:
-            by_length.setdefault(len(stretch), []).append((i, stretch))
+        for i, word in marked:
+            by_length.setdefault(len(word), []).append((i, word))
         for n, members in sorted(by_length.items()):
             codes = _codes([s for _, s in members], n)
             found, held = {}, None
-            for length in range(1, min(n, MOST_LETTERS) + 1):
+            for length in range(1, min(n, self.most) + 1):
                 held = _rolled(codes, length, held)
-                hashes, numbers = self.tables[length - 1]
-                at = np.minimum(np.searchsorted(hashes, held), len(hashes) - 1)
-                piece = np.where(hashes[at] == held, numbers[at], self.missing)
+                piece = self._numbers(held, length)
                 for place in range(n - length + 1):
                     column = piece[:, place]
                     rows = np.flatnonzero(column != self.missing)
@@ -114,7 +134,7 @@ def _forward(chances: np.ndarray, n: int, found: dict) -> list[np.ndarray]:
     sums = [np.ones((rows, chances.shape[1]))]
     for end in range(1, n + 1):
         total = np.zeros((rows, chances.shape[1]))
-        for length in range(1, min(end, MOST_LETTERS) + 1):
+        for length in range(1, end + 1):
             some, column = found.get((length, end - length), (None, None))
             if column is not None:
                 chance = chances[column]
@@ -130,7 +150,7 @@ def _backward(chances: np.ndarray, n: int, found: dict) -> list[np.ndarray]:
     sums = [np.zeros((rows, chances.shape[1])) for _ in range(n)]
     sums.append(np.ones((rows, chances.shape[1])))
     for begin in range(n - 1, -1, -1):
-        for length in range(1, min(n - begin, MOST_LETTERS) + 1):
+        for length in range(1, n - begin + 1):
             some, column = found.get((length, begin), (None, None))
             if column is not None:
                 chance = chances[column]
@@ -140,6 +160,61 @@ def _backward(chances: np.ndarray, n: int, found: dict) -> list[np.ndarray]:
     return sums
 
 
+def _logs_of(table: np.ndarray) -> np.ndarray:
+    with np.errstate(divide="ignore"):
+        return np.log(table)
+
+
+def _piece_logs(logs: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The logs of the pieces' chances; a letter that is no piece still has a small chance."""
+    found = logs[ends]
+    found[:, 0] = np.maximum(found[:, 0], np.log(ODD_LETTER))
+    return found
+
+
+def _sum_on(sums: np.ndarray, pieces: np.ndarray) -> np.ndarray:
+    """Log sums over all segmentations up to each further letter.
+
+    sums has a row for each of the last places, the newest last; pieces a row for each
+    further letter, with the pieces that end there by length.
+    """
+    most = pieces.shape[1]
+    found = np.full((most + len(pieces), pieces.shape[2]), -np.inf)
+    found[most - len(sums):most] = sums
+    back = pieces[:, ::-1]  # as the places where the pieces begin
+    for i in range(len(pieces)):
+        found[most + i] = np.logaddexp.reduce(found[i:most + i] + back[i], axis=0)
+    return found[most:]
+
+
+def _log_sum(lattice: Lattice, logs: np.ndarray, word: str) -> np.ndarray:
+    """The log of a word's sum over all segmentations, by language."""
+    sums = np.zeros((1, logs.shape[1]))
+    for ends in lattice.parts(START + word):
+        sums = np.concatenate([sums, _sum_on(sums, _piece_logs(logs, ends))])[-lattice.most:]
+    return sums[-1]
+
+
+def _long_uses(ends: np.ndarray, chances: np.ndarray) -> np.ndarray:
+    """How often each piece is used in a long word, over all segmentations by their chances."""
+    n, most = ends.shape
+    logs = _logs_of(chances)
+    pieces = _piece_logs(logs, ends)
+    start = np.zeros((1, 1))
+    ahead = np.concatenate([start, _sum_on(start, pieces)])[:, 0]
+    # Seen from the end, a piece ends where it begins.
+    begins = np.full((n, most, 1), -np.inf)
+    for length in range(1, min(most, n) + 1):
+        begins[:n - length + 1, length - 1] = pieces[length - 1:, length - 1]
+    behind = np.concatenate([start, _sum_on(start, begins[::-1])])[::-1, 0]
+    uses = np.zeros(len(chances))
+    for length in range(1, min(most, n) + 1):
+        some = ends[length - 1:, length - 1]
+        use = np.exp(ahead[:n - length + 1] + logs[some, 0] + behind[length:] - ahead[n])
+        uses += np.bincount(some, use, len(chances))
+    return uses
+
+
 @dataclass
 class LanguageModel:
     languages: list[str]
@@ -152,7 +227,12 @@ class LanguageModel:
         """A row for each word: the log of its sum over segmentations, by language."""
         found = np.zeros((len(words), len(self.languages)))
         for members, n, pieces in self.lattice.groups(words):
-            np.add.at(found, members, np.log(_forward(self.chances, n, pieces)[n]))
+            found[members] = np.log(_forward(self.chances, n, pieces)[n])
+        logs = None
+        for i, word in enumerate(words):
+            if len(word) >= LONG:
+                logs = _logs_of(self.chances) if logs is None else logs
+                found[i] = _log_sum(self.lattice, logs, word)
         return found
 
     def predict(self, texts: Sequence[str | None]) -> tuple[list[str], list[float]]:
@@ -195,6 +275,8 @@ def fit(texts: dict[str, list[str]], path: str | None = None) -> LanguageModel:
         words = sorted(counted)
         weights = np.array([counted[w] for w in words], dtype=float)
         groups = list(lattice.groups(words))
+        long = [(n, np.concatenate(list(lattice.parts(START + w))))
+                for w, n in zip(words, weights, strict=True) if len(w) >= LONG]
         chances = np.full((len(pieces) + 1, 1), 1 / max(1, len(pieces)))
         chances[-1] = 0
         for _ in range(ROUNDS):
@@ -206,6 +288,8 @@ def fit(texts: dict[str, list[str]], path: str | None = None) -> LanguageModel:
                     use = (ahead[place][some] * chances[column]
                            * behind[place + length][some] * share[some])
                     uses += np.bincount(column, use[:, 0], len(pieces) + 1)
+            for weight, ends in long:
+                uses += weight * _long_uses(ends, chances)
             uses[-1] = 0
             total = uses.sum()
             seen = uses / total if total else np.full(len(uses), 1 / max(1, len(pieces)))
@@ -226,7 +310,8 @@ def train(docs: DataFrame, usable: Column, most_rows: int = SAMPLE_ROWS,
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """Rows (doc_id, lang_pred, score) of whole texts.
 
-    A text's words are its runs of letters; the score is the chance of the language if
+    A text's words are its runs of letters, whole whatever their length, and a word's
+    chance is the sum over all its segmentations into pieces of any length; the score is the chance of the language if
     all are equally likely beforehand. Texts that are null or have no letter are `und`
     with score 0, and so are all if no language was learned. Equal chances go to the
     first language by code point. Only doc_id and text are used; rows may repeat, and an

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import itertools
+import math
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -66,6 +68,34 @@ def test_segmentations_are_all_summed():
             assert model.log_chances([word])[0, column] == pytest.approx(np.log(total), rel=1e-9)
 
 
+def test_long_words_are_summed_whole(monkeypatch):
+    words = ["abab", "ab", "abc", "internationalisation", "an" * 70 + "c"]
+    texts = {"x": [" ".join(words)], "y": ["cab bca nation"]}
+    model = language.fit(texts)
+    number = {p: i for i, p in enumerate(language.vocabulary(language.vocabulary_path()))}
+    most = max(map(len, number))
+    assert most > 7 and model.lattice.most == most
+    for word in ("abc" * 40, "internationalisation" * 6, "ß漢" * 60, "a" * 300):
+        marked = language.START + word
+        for column in range(2):
+            sums = [Fraction(1)]
+            for end in range(1, len(marked) + 1):
+                total = Fraction(0)
+                for begin in range(max(0, end - most), end):
+                    piece = marked[begin:end]
+                    own = float(model.chances[number[piece], column]) if piece in number else 0.0
+                    total += sums[begin] * Fraction(max(own, language.ODD_LETTER) if len(piece) == 1 else own)
+                sums.append(total)
+            log = math.log(sums[-1].numerator) - math.log(sums[-1].denominator)
+            assert model.log_chances([word])[0, column] == pytest.approx(log, rel=1e-9)
+    whole = model.log_chances(words)
+    monkeypatch.setattr(language, "PART", 7)
+    monkeypatch.setattr(language, "LONG", 1)
+    one_by_one = language.fit(texts)
+    assert one_by_one.chances == pytest.approx(model.chances, rel=1e-9)
+    assert one_by_one.log_chances(words) == pytest.approx(whole, rel=1e-9)
+
+
 def test_odd_texts_have_scores_and_languages(odd):
     quick = quality.fit(["good words here", "|| ||"], np.array([1, 0]))
     toxic = toxicity.fit(["vile thing"] * 5, ["nice thing"] * 9, 0.1)
