@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldtally.llm.common import SPACES, checkpointed
 
 FAN_IN = 8
+KEYS = ["digest", "letters", "check"]
+#: Of rows with equal keys, the first in this order stays.
+BEST = ["less", "unknown", "doc_id"]
 
 
 def _bare(text: Column) -> Column:
@@ -32,36 +40,68 @@ def digests(docs: DataFrame) -> DataFrame:
         F.xxhash64(_bare(text)).alias("check"))
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of sorted rows the first of each key, with the rows of all added up.
+
+    Rows pass as a stream; only the last key of a batch is held for the next one.
+    """
+    held: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        found = pa.Table.from_batches([batch])
+        if held is not None:
+            found = pa.concat_tables([held, found]).combine_chunks()
+        other = np.zeros(found.num_rows - 1, dtype=bool)
+        for key in KEYS:
+            column = found[key].combine_chunks()
+            other |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+        first = np.concatenate([[0], np.flatnonzero(other) + 1])
+        rows = np.add.reduceat(found["rows"].to_numpy(), first)
+        runs = found.take(pa.array(first))
+        runs = runs.set_column(runs.schema.get_field_index("rows"), found.schema.field("rows"),
+                               pa.array(rows, pa.int64()))
+        yield from runs.slice(0, len(first) - 1).to_batches()
+        held = runs.slice(len(first) - 1)
+    if held is not None:
+        yield from held.combine_chunks().to_batches()
+
+
+def _run(level: DataFrame) -> DataFrame:
+    """Each partition's rows as one sorted run, a row for each key."""
+    return level.sortWithinPartitions(*KEYS, *BEST).mapInArrow(_merged, level.schema)
+
+
 def merge_runs(rows: DataFrame, nodes: int, fan_in: int = FAN_IN) -> DataFrame:
     """One row for each class of equal digests: who stays, and how many they are.
 
-    Every input partition is a node whose rows are combined into a run of digests. In
-    each round, groups of fan_in nodes exchange runs: the node's number gets one more
-    digit from the digest in place of its own, and the runs that meet are merged, each
-    digest keeping its best row (most chars, then smallest doc_id) and its count. After
-    log(nodes) rounds all of a digest has met, spread over all nodes by digest, so no
-    node ever holds more than its share; a text with a third of all rows is one row per
-    node after the first run. Digests that agree are only merged if the length and a
-    second hash agree too.
+    Every input partition is a node whose rows become a sorted run of digests. In each
+    round, groups of at most fan_in nodes exchange parts of their runs: the node's number
+    gets one more digit from the digest in place of its own, and the rows go to the
+    partition of that number. It merges what its partners sent, by Spark's sort, which
+    spills, and passes over it once as a stream; each digest keeps its best row (most
+    chars, then smallest doc_id) and its count. After log(nodes) rounds all of a digest
+    has met, spread over all nodes by digest, so no node ever holds more than its share;
+    a text with a third of all rows is one row per node after the first run. Digests that
+    agree are only merged if the length and a second hash agree too.
     """
     rounds = 1
     while fan_in ** rounds < nodes:
         rounds += 1
-    keys = ["digest", "letters", "check"]
-    best = F.struct((-F.col("chars")).alias("less"), F.col("doc_id").isNull().alias("unknown"),
-                    F.col("doc_id").alias("doc_id"))
-    level = rows.select(*keys, best.alias("best"), F.lit(1).cast("bigint").alias("rows"),
-                        F.spark_partition_id().cast("bigint").alias("node"))
-    home = F.pmod(F.col("check"), F.lit(fan_in ** rounds)).cast("bigint")
+    fan_in = next(f for f in range(2, max(2, fan_in) + 1) if f ** rounds >= nodes)
+    everyone = fan_in ** rounds
+    level = _run(rows.select(
+        *KEYS, (-F.col("chars")).alias("less"), F.col("doc_id").isNull().alias("unknown"), "doc_id",
+        F.lit(1).cast("bigint").alias("rows"), F.spark_partition_id().alias("node")))
+    home = F.pmod(F.col("check"), F.lit(everyone)).cast("int")
     for r in range(rounds):
         place = fan_in ** r
         digit = F.expr(f"node div {place}") % fan_in
         wanted = F.floor(home / place) % fan_in
-        node = F.col("node") % (fan_in ** rounds) + (wanted - digit) * place
-        level = (level.withColumn("node", node.cast("bigint")).groupBy("node", *keys)
-                 .agg(F.min("best").alias("best"), F.sum("rows").alias("rows")))
-    return level.select(*keys, F.col("best.doc_id").alias("keep_id"),
-                        (-F.col("best.less")).alias("keep_chars"), F.col("rows").alias("group_size"))
+        node = F.col("node") + (wanted - digit) * place
+        level = _run(level.withColumn("node", node.cast("int")).repartitionById(everyone, "node"))
+    return level.select(*KEYS, F.col("doc_id").alias("keep_id"), (-F.col("less")).alias("keep_chars"),
+                        F.col("rows").alias("group_size"))
 
 
 def exact_dedup(docs: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
@@ -76,7 +116,7 @@ def exact_dedup(docs: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
     rows = checkpointed(digests(docs))
     nodes = max(2, rows.rdd.getNumPartitions())
     classes = merge_runs(rows, nodes, fan_in)
-    joined = rows.join(classes, ["digest", "letters", "check"])
+    joined = rows.join(classes, KEYS)
     alike = Window.partitionBy("doc_id", "check", "letters", "chars").orderBy("digest")
     return joined.withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("keep_id"))

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -338,6 +339,24 @@ def test_exact_of_odd_rows_keeps_one_a_class(odd):
     assert Counter(bytes(r["digest"]) for r in rows if r["kept"]) == Counter({bytes(r["digest"]): 1 for r in rows})
     assert exact.exact_dedup(odd.limit(0)).count() == 0
 
+def test_runs_are_exchanged_by_node_and_merged_as_streams(documents):
+    rows = exact.digests(documents.repartition(9))
+    plan = exact.merge_runs(rows, 9)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line and "REPARTITION_BY_NUM" in line]
+    assert len(exchanges) == 3 and sum("node" in e and "digest" not in e.split("node")[0] for e in exchanges) == 2
+    names = ["digest", "letters", "check", "less", "unknown", "doc_id", "rows", "node"]
+    run = [(b"a", 1, 1, -3, False, 4, 2, 0)] * 3 + [(b"b", 1, 1, -1, True, None, 1, 0)] + [
+        (b"b", 1, 2, -1, False, 7, 1, 0)] * 4
+    for size in (1, 2, 3, 8):
+        batches = [pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in run[i:i + size]], pa.schema([
+            ("digest", pa.binary()), *((n, pa.int64()) for n in names[1:4]), ("unknown", pa.bool_()),
+            *((n, pa.int64()) for n in names[5:])])) for i in range(0, len(run), size)]
+        merged = [tuple(r.values()) for b in exact._merged(iter(batches)) for r in b.to_pylist()]
+        assert merged == [(b"a", 1, 1, -3, False, 4, 6, 0), (b"b", 1, 1, -1, True, None, 1, 0),
+                          (b"b", 1, 2, -1, False, 7, 4, 0)]
+    assert list(exact._merged(iter([]))) == []
+
+
 
 # Packing --------------------------------------------------------------------------------
 
