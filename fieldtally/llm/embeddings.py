@@ -35,7 +35,11 @@ def hyperplanes(dimension: int, bits: int, tables: int, seed: int) -> np.ndarray
 
 
 def signatures(vectors: np.ndarray, bits: int, tables: int, seed: int) -> np.ndarray:
-    """One whole number of `bits` sign bits for each vector and table."""
+    """One whole number of `bits` sign bits for each vector and table.
+
+    Vectors are scaled first, so that sums of very large components stay finite.
+    """
+    vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
     signs = vectors @ hyperplanes(vectors.shape[1], bits, tables, seed) >= 0
     weights = 1 << np.arange(bits, dtype=np.int64)
     return signs.reshape(len(vectors), tables, bits) @ weights
@@ -108,17 +112,19 @@ def embedding_dedup(vectors: DataFrame, threshold: float = THRESHOLD, recall: fl
         F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("copies")).withColumn(
         "node", F.monotonically_increasing_id()))
     bits, tables = table_shape(nodes.count(), threshold, recall)
+    # What goes to every table is no wider than it has to be; cosines are doubles all the same.
+    vector = nodes.schema["embedding"].dataType.simpleString()
+    width, short = ("int", np.int32) if bits < 32 else ("bigint", np.int64)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for _, part in batch.groupby("dimension", sort=False):
                 matrix = np.stack(part["embedding"].to_numpy()).astype(np.float64)
-                yield part.assign(signs=list(signatures(matrix, bits, tables, seed)))
+                yield part.assign(signs=list(signatures(matrix, bits, tables, seed).astype(short)))
 
     signed = nodes.select("node", "copies", F.size("embedding").alias("dimension"),
                           "embedding").mapInPandas(
-        sign, "node bigint, copies bigint, dimension int, embedding array<double>, "
-              "signs array<bigint>")
+        sign, f"node bigint, copies bigint, dimension int, embedding {vector}, signs array<{width}>")
     dealt = signed.select("*", F.posexplode("signs").alias("turn", "bucket"))
     key = ["dimension", "turn", "bucket"]
     large = dealt.groupBy(*key).count().where(F.col("count") > BLOCK_ROWS).select(

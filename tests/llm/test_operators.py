@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 import xxhash
@@ -304,6 +306,35 @@ def test_embedding_recall_at_the_threshold():
     assert 1 - (1 - agree ** bits) ** tables >= 0.999
 
 
+def test_recall_of_planted_pairs_at_the_default(spark):
+    """20,000 vectors, of which 1,000 pairs have a cosine from 0.95 to 0.96."""
+    rng = np.random.default_rng(3)
+    unit = rng.standard_normal((20_000, 32))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    for i in range(1000):
+        side = unit[10_000 + i] - (unit[10_000 + i] @ unit[i]) * unit[i]
+        cosine = 0.9501 + 0.0099 * i / 1000
+        unit[10_000 + i] = cosine * unit[i] + math.sqrt(1 - cosine ** 2) * side / np.linalg.norm(side)
+    unit = unit.astype(np.float32).astype(np.float64)
+    exact_unit = unit / np.linalg.norm(unit, axis=1, keepdims=True)
+    links = np.zeros(len(unit), dtype=int)
+    for begin in range(0, len(unit), 2000):
+        links[begin:begin + 2000] = (exact_unit[begin:begin + 2000] @ exact_unit.T >= 0.95).sum(axis=1) - 1
+    assert links.sum() >= 2000
+    frame = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(unit)), "embedding": unit.tolist()}),
+                                  "vec_id bigint, embedding array<float>")
+    got = {x["vec_id"]: x["n_links"] for x in embeddings.embedding_dedup(frame).collect()}
+    assert all(got[i] <= n for i, n in enumerate(links.tolist()))
+    assert sum(got.values()) >= 0.99 * links.sum()
+
+
+def test_signatures_of_very_large_vectors():
+    small = np.random.default_rng(1).standard_normal((50, 16))
+    with np.errstate(all="raise"):
+        large = embeddings.signatures(small / np.abs(small).max() * 1.7e308, 8, 5, 50)
+    assert (large == embeddings.signatures(small, 8, 5, 50)).all()
+
+
 def test_embeddings_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert embeddings.embedding_dedup(empty).count() == 0
