@@ -14,7 +14,7 @@ WITH state_of AS (
   FROM nation JOIN region ON n_regionkey = r_regionkey),
 observer AS (
   SELECT c_custkey, country_code, country, state_code, state,
-         state_code || '-' || replace(c_mktsegment, '-', '_') AS county_code, c_mktsegment AS county
+         state_code || '-' || replace(replace(c_mktsegment, '_', '_u'), '-', '_d') AS county_code, c_mktsegment AS county
   FROM customer JOIN state_of ON c_nationkey = n_nationkey),
 codes AS (
   SELECT DISTINCT country_code, country, state_code, state, county_code, county FROM observer),
@@ -360,9 +360,9 @@ SELECT u.pattern AS requested, code, name, CAST(level AS BIGINT) AS level
 FROM (SELECT * FROM (VALUES ('R1-N1'), ('N2-H')) v(pattern)) u
 JOIN dim ON contains(code, u.pattern)""",
     "region_rejects": TABLES + """
-SELECT DISTINCT state_code || '-' || replace(s_name, '-', '_') AS region
+SELECT DISTINCT state_code || '-' || replace(replace(s_name, '_', '_u'), '-', '_d') AS region
 FROM supplier JOIN state_of ON s_nationkey = n_nationkey
-WHERE state_code || '-' || replace(s_name, '-', '_') NOT IN (SELECT code FROM dim)""",
+WHERE state_code || '-' || replace(replace(s_name, '_', '_u'), '-', '_d') NOT IN (SELECT code FROM dim)""",
     "region_names": TABLES + "SELECT code AS region, name AS region_name FROM dim",
     "region_select": TABLES + """
 SELECT code, name, CAST(level AS BIGINT) AS level FROM dim

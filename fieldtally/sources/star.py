@@ -51,8 +51,11 @@ def _once(build):
 
 
 def district_code(name: F.Column) -> F.Column:
-    """A district's part of its code: its whole name, for `-` sets levels apart."""
-    return F.replace(name, F.lit("-"), F.lit("_"))
+    """A district's part of its code: its whole name, for `-` sets levels apart.
+
+    Different names have different codes: `_` is written `_u` and `-` is written `_d`.
+    """
+    return F.replace(F.replace(name, F.lit("_"), F.lit("_u")), F.lit("-"), F.lit("_d"))
 
 
 @dataclass(frozen=True)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldtally.functions import columns as c
 from fieldtally.functions import wording
+from fieldtally.sources.star import district_code
 
 
 def one(spark, value, expression, kind="string"):
@@ -70,6 +71,13 @@ def test_publication_month(spark, day, expected):
     assert got == expected
 
 
+def test_different_districts_have_different_codes(spark):
+    names = ["A-B", "A_B", "A_dB", "A-_B", "A_-B", "A__B", "AB"]
+    codes = [one(spark, n, district_code) for n in names]
+    assert len(set(codes)) == len(names) and not any("-" in code for code in codes)
+    assert one(spark, "HOUSEHOLD", district_code) == "HOUSEHOLD" and one(spark, None, district_code) is None
+
+
 def test_text_helpers(spark):
     assert one(spark, "**12 districts**", c.letters_only) == "districts"
     assert one(spark, 1234567, c.thousands, "bigint") == "1,234,567"
