@@ -13,7 +13,7 @@ from fieldtally.llm import exact, mixing, packing, simhash, toxicity
 from fieldtally.llm.common import checkpointed, group_key, in_fold, table
 from fieldtally.session import shared_folder
 
-#: SQL cannot express the classifier; a test compares the rows with a plain version.
+#: SQL cannot express the classifier; tests hold the other stages against plain versions.
 ORACLE_SQL = None
 
 
@@ -23,7 +23,11 @@ def _id_key() -> Column:
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity operator does not reject, at its query's threshold."""
+    """Documents that the toxicity operator does not reject, at its query's threshold.
+
+    Rows are judged one by one by their whole text: repeated rows go or stay alike, and a
+    null or empty text has the score of a text without words. Columns of any name pass on.
+    """
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), in_fold(F.col("doc_id"), 5) != 0)
     renamed = docs.withColumn("__kept_score", F.col("score")) if "score" in docs.columns else docs
     scored = toxicity.score(renamed, model, renamed.columns).where("score < 0.5").drop("score")
@@ -31,7 +35,10 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts; of rows alike in doc_id and text, one."""
+    """One document of each group of equal texts; of rows alike in doc_id and text, one.
+
+    Null, empty and blank texts are one group. Ties are decided as the operator states.
+    """
     found = checkpointed(exact.exact_dedup(docs).withColumn("__key", _id_key()))
     repeated = found.groupBy("__key").count().where("count > 1").select("__key")
     keyed = docs.withColumn("__key", _id_key())
@@ -51,7 +58,8 @@ def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near fingerprints: the one with its smallest id.
 
     Rows of different texts that share that id, or rows without an id where no other is
-    in their component, cannot be told apart by it and all stay.
+    in their component, cannot be told apart by it and all stay. Null texts and texts without
+    words have the fingerprint zero, and one of them stays.
     """
     found = simhash.simhash_dedup(docs, shingle=4, most_bits=4)
     gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
@@ -64,7 +72,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sources at their target weights, in whole documents.
 
     A document is in the mix once for each epoch that takes half of its words or more;
-    rows that share doc_id and source are there equally often.
+    rows that share doc_id and source are there equally often. A null or empty text, or one
+    without words, is not in the mix, as no epoch takes a word of it. A null source is a
+    source like any other.
     """
     _, spans = mixing.mix(docs)
     epochs = spans.groupBy("doc_id", "source_key", "size", "copy", "epoch").agg(
@@ -80,7 +90,11 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of documents in sequences of 2048 ids."""
+    """The pieces of documents in sequences of 2048 ids.
+
+    A null text counts as empty and has its end id alone. Repeated rows are packed as often
+    as they come; other columns than doc_id and text are not used.
+    """
     return packing.pack(docs).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
         "sequence_id", "offset")
@@ -91,7 +105,10 @@ STAGES = [("toxicity", clean), ("exact dedup", unique), ("simhash near-dedup", d
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each but the last written to the shared folder and read again."""
+    """All stages over documents, each but the last written to the shared folder and read again.
+
+    An empty table gives an empty result.
+    """
     docs = table(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES[:-1]):
         path = shared_folder(spark, f"stage{number}")
