@@ -323,6 +323,21 @@ def test_stages_that_remove_and_repeat(spark, odd, tmp_path):
     assert Counter(r["doc_id"] for r in mixed.collect()) == +times
 
 
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_keep_columns_and_take_empty_tables(spark, odd, name, stage):
+    of_all, of_none = stage(spark, odd, FOLDER), stage(spark, odd.limit(0), FOLDER)
+    assert of_none.count() == 0 and of_none.columns == of_all.columns
+    if name != "packing":
+        assert of_all.columns == odd.columns
+        rows = Counter(map(str, odd.collect()))
+        assert set(map(str, of_all.collect())) <= set(rows)
+
+
+def test_rows_without_words_are_not_in_the_mix(spark, odd):
+    mixed = corpus_pipeline.mixed(spark, odd, FOLDER)
+    assert all(word_number(r["text"]) for r in mixed.collect())
+
+
 def test_pipeline_runs_over_whole_tables(spark):
     pieces = rows_of(corpus_pipeline.run(spark, SMALL))
     assert pieces and sum(r["length"] for r in pieces if r["start"] == 0) > 0
