@@ -1,12 +1,13 @@
 """Cross-tokenizer alignment: which tokens of two vocabularies lie on the same bytes.
 
-A text is tokenised whole by both. Where both have a token end, and both next tokens
-begin with white space, the text is cut into windows of token ids. The alignment of a
-window depends on its ids alone, so it is worked out once and remembered by them.
+A whole text is cut before spaces that neither vocabulary has a token run over. The ids of
+such a part, and how they lie on its bytes, depend on the part alone, so they are worked
+out once and remembered.
 """
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import json
 import re
@@ -29,9 +30,13 @@ from fieldtally.sinks.files import written
 #: Text that one chunk row stands for, unless one document has more.
 CHUNK_BYTES = 8 << 20
 CHUNK_DOCS = 8192
-#: Windows that a task remembers; beyond it, or beyond 16 links for each, it starts anew.
+#: Text whose new parts are tokenised and aligned together, unless one document has more.
+TOGETHER_BYTES = 1 << 18
+#: Parts that are tried together where one of more is not given back.
+FEW_PARTS = 256
+#: Parts that a task remembers; beyond it, or beyond 16 links for each, it starts anew.
 MOST_WINDOWS = 200_000
-#: Letters of text whose ids a task remembers, besides those of the document at hand.
+#: Letters of text whose ids a task remembers, besides those of the documents at hand.
 MOST_LETTERS = 8 << 20
 #: A space behind a letter or mark, where no token of either vocabulary runs on.
 CUT = re.compile(r"(?<=\S) ")
@@ -89,7 +94,8 @@ class Links(NamedTuple):
 
 def align(first: np.ndarray, second: np.ndarray, ends: np.ndarray, others: np.ndarray) -> Links:
     """The alignment of ids whose tokens end at these bytes of a text."""
-    link_ends = np.union1d(ends, others)
+    link_ends = np.sort(np.concatenate((ends, others)), kind="stable")
+    link_ends = link_ends[np.append(link_ends[1:] != link_ends[:-1], True)]
     codes = first[np.searchsorted(ends, link_ends)].astype(np.int64) * SECOND
     codes += second[np.searchsorted(others, link_ends)]
     at = np.searchsorted(others, ends)
@@ -98,8 +104,45 @@ def align(first: np.ndarray, second: np.ndarray, ends: np.ndarray, others: np.nd
                  np.searchsorted(group_ends, others))
 
 
+NO_TOKENS = (0, 0, 0, 0, "", np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))
+
+
+class Lists:
+    """Many lists of numbers, by number, one after the other in one array."""
+
+    def __init__(self, dtype: str):
+        self.n = 0
+        self.starts = np.zeros(1024, dtype=np.int64)
+        self.values = np.zeros(4096, dtype=dtype)
+
+    @staticmethod
+    def _room(array: np.ndarray, size: int) -> np.ndarray:
+        return array if size <= len(array) else np.concatenate(
+            (array, np.zeros(max(size, len(array)), array.dtype)))
+
+    def __len__(self) -> int:
+        return int(self.starts[self.n])
+
+    def add(self, values: np.ndarray, sizes: np.ndarray) -> None:
+        begin, n = len(self), self.n + len(sizes)
+        self.starts = self._room(self.starts, n + 1)
+        self.starts[self.n + 1:n + 1] = begin + np.cumsum(sizes)
+        self.values = self._room(self.values, begin + len(values))
+        self.values[begin:begin + len(values)] = values
+        self.n = n
+
+    def sizes(self, rows: np.ndarray) -> np.ndarray:
+        return self.starts[rows + 1] - self.starts[rows]
+
+    def take(self, rows: np.ndarray) -> np.ndarray:
+        sizes = self.sizes(rows)
+        upto = sizes.cumsum()
+        total = int(upto[-1]) if len(upto) else 0
+        return self.values[np.arange(total) + np.repeat(self.starts[rows] - upto + sizes, sizes)]
+
+
 class Aligner:
-    """Aligns whole texts, with a bounded memory of windows."""
+    """Aligns whole texts, with a bounded memory of their parts."""
 
     def __init__(self, first_path: str, second_path: str, most_windows: int = MOST_WINDOWS):
         self.first = byte_tokens(first_path)
@@ -107,157 +150,186 @@ class Aligner:
         self.model, self.second = piece_model(second_path)
         self.first_length = np.array([len(t) for t in self.first])
         self.second_length = np.array([len(t) for t in self.second])
-        self.first_spaced = np.array([t[:1] == b" " for t in self.first])
-        self.second_spaced = np.array([t[:1] == b" " for t in self.second])
         # Each id as text with what follows it: a comma, or the end of its side of a group.
-        self.first_told = [[f"{n}{mark}" for n in range(len(self.first))] for mark in ",|"]
-        self.second_told = [[f"{n}{mark}" for n in range(len(self.second))] for mark in ",;"]
+        n_first = len(self.first)
+        self.written = np.array([f"{n}{mark}" for marks, size in ((",|", n_first), (",;", len(self.second)))
+                                 for mark in marks for n in range(size)], dtype="S")
+        self.written_at = np.array([[0, n_first], [2 * n_first, 2 * n_first + len(self.second)]])
+        self.written_length = np.char.str_len(self.written)
         # Merges never run over a cut if no piece holds a space behind something else.
         self.space = self.model.piece_to_id("▁")
         self.cuttable = self.space != self.model.unk_id() and not any(
             b" " in piece.lstrip(b" ") for piece in self.second)
         self.most_windows = most_windows
         self.forget()
-        self.forget_parts()
 
-    def forget_parts(self) -> None:
-        self.first_ids: dict[str, bytes] = {}
-        self.second_ids: dict[str, bytes] = {}
-        self.changed: set[str] = set()
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.told: list[bytes] = []
+        self.changed: set[int] = set()
         self.letters = 0
-
-    def learn_parts(self, parts: list[str]) -> None:
-        """Tokenises the new among a text's parts and remembers their ids.
-
-        Those that end in a letter or mark are tokenised in one go, with the space before
-        each, as the places where they meet are cuts again.
-        """
-        if self.letters > MOST_LETTERS:
-            self.forget_parts()
-        new = [p for p in dict.fromkeys(parts) if p not in self.first_ids]
-        self.letters += sum(map(len, new)) + 16 * len(new)
-        inner = [p for p in new if self.cuttable and p and not p[-1].isspace()]
-        if inner:
-            whole = " " + " ".join(inner)
-            first = np.frombuffer(self.encode(whole), dtype="<u4")
-            second = np.array(self.model.encode(whole[1:]), dtype="<u4")
-            if self.gives_back(first, second, whole.encode()):
-                ends = np.cumsum([len(p.encode()) + 1 for p in inner])
-                for ids, lengths, known in ((first, self.first_length, self.first_ids),
-                                            (second, self.second_length, self.second_ids)):
-                    cuts = (4 * np.searchsorted(lengths[ids].cumsum(), ends) + 4).tolist()
-                    told = ids.tobytes()
-                    known.update(zip(inner, map(
-                        told.__getitem__, map(slice, [0, *cuts], cuts)), strict=True))
-                new = [p for p in new if p not in self.first_ids]
-        for part in new:
-            first = np.frombuffer(self.encode(" " + part), dtype="<u4")
-            second = np.array(self.model.encode(part) or [self.space], dtype="<u4")
-            self.first_ids[part], self.second_ids[part] = first.tobytes(), second.tobytes()
-            if not self.gives_back(first, second, (" " + part).encode()):
-                self.changed.add(part)
+        self.ids = Lists("<u4"), Lists("<u4")
+        self.codes, self.group_ends = Lists("<i8"), Lists("<i8")
 
     def gives_back(self, first: np.ndarray, second: np.ndarray, whole: bytes) -> bool:
         return (b"".join(map(self.first.__getitem__, first.tolist())) == whole
                 and b"".join(map(self.second.__getitem__, second.tolist())) == whole)
 
-    def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.told: list[str] = []
-        self.groups: list[int] = []
-        self.link_starts = np.zeros(1024, dtype=np.int64)
-        self.codes = np.zeros(4096, dtype=np.int64)
+    def learn(self, parts: list[str]) -> None:
+        """Tokenises and aligns parts that are not known, many at once, and remembers each.
 
-    @staticmethod
-    def _room(array: np.ndarray, size: int) -> np.ndarray:
-        return array if size <= len(array) else np.r_[array, np.zeros(max(size, len(array)), array.dtype)]
-
-    def learn(self, keys: list[bytes]) -> None:
-        """Aligns windows that are not known, all at once, and remembers each."""
-        ids = np.frombuffer(b"".join(keys), dtype="<u4")
-        is_second = ids >= SECOND
-        first, second = ids[~is_second], ids[is_second] - np.uint32(SECOND)
-        sizes = np.array([len(k) // 4 for k in keys])
-        of_second = np.add.reduceat(is_second, np.cumsum(sizes) - sizes)
+        Those that end in a letter or mark are tokenised in one go, with the space before
+        each, as the places where they meet are cuts again. If the texts are not given
+        back, a few at a time are tried, and those with parts that either tokenizer changes
+        one by one.
+        """
+        self.letters += sum(map(len, parts)) + 16 * len(parts)
+        inner = [p for p in parts if self.cuttable and p and not p[-1].isspace()]
+        if inner:
+            self._learn_together(inner)
+        for part in parts if len(inner) < len(parts) else ():
+            if part not in self.known:
+                self._learn_alone(part)
+
+    def _learn_together(self, parts: list[str]) -> None:
+        whole = " " + " ".join(parts)
+        first = np.frombuffer(self.encode(whole), dtype="<u4")
+        second = np.array(self.model.encode(whole[1:]), dtype="<u4")
+        if self.gives_back(first, second, whole.encode()):
+            sizes = map(len, parts) if whole.isascii() else (len(p.encode()) for p in parts)
+            self._remember(parts, first, second, np.cumsum([n + 1 for n in sizes]))
+        elif len(parts) > FEW_PARTS:
+            for at in range(0, len(parts), FEW_PARTS):
+                self._learn_together(parts[at:at + FEW_PARTS])
+        else:
+            for part in parts:
+                self._learn_alone(part)
+
+    def _learn_alone(self, part: str) -> None:
+        first = np.frombuffer(self.encode(" " + part), dtype="<u4")
+        second = np.array(self.model.encode(part) or [self.space], dtype="<u4")
+        whole = (" " + part).encode()
+        if self.gives_back(first, second, whole):
+            self._remember([part], first, second, np.array([len(whole)]))
+            return
+        row = self.known[part] = len(self.told)
+        self.changed.add(row)
+        self.told.append(b"")
+        for lists, values in zip((*self.ids, self.codes, self.group_ends), (first, second, [], []),
+                                 strict=True):
+            lists.add(np.asarray(values, dtype=lists.values.dtype), np.array([len(values)]))
+
+    def _remember(self, parts: list[str], first: np.ndarray, second: np.ndarray,
+                  part_ends: np.ndarray) -> None:
+        """Aligns the ids of parts, which end at these bytes of what both give back."""
         ends, others = self.first_length[first].cumsum(), self.second_length[second].cumsum()
         found = align(first, second, ends, others)
-        window_ends = ends[np.cumsum(sizes - of_second) - 1]
-        link_cuts = np.r_[0, np.searchsorted(found.link_ends, window_ends) + 1]
-        groups = np.diff(np.r_[0, np.searchsorted(found.group_ends, window_ends) + 1])
-        marks = [np.r_[group[1:] != group[:-1], True].tolist()
-                 for group in (found.first_group, found.second_group)]
-        told = [self.first_told[m][n] for m, n in zip(marks[0], first.tolist(), strict=True)]
-        told += [self.second_told[m][n] for m, n in zip(marks[1], second.tolist(), strict=True)]
-        order = np.argsort(np.r_[2 * found.first_group, 2 * found.second_group + 1], kind="stable")
-        pieces = list(map(told.__getitem__, order.tolist()))
-        at, number = 0, len(self.told)
-        for key, size in zip(keys, sizes.tolist(), strict=True):
-            self.known[key] = len(self.told)
-            self.told.append("".join(pieces[at:at + size])[:-1])
-            at += size
-        self.groups += groups.tolist()
-        begin = int(self.link_starts[number])
-        self.link_starts = self._room(self.link_starts, len(self.told) + 1)
-        self.link_starts[number + 1:len(self.told) + 1] = begin + link_cuts[1:]
-        self.codes = self._room(self.codes, begin + len(found.codes))
-        self.codes[begin:begin + len(found.codes)] = found.codes
+        upto = []
+        for lists, at, values in ((self.ids[0], ends, first), (self.ids[1], others, second),
+                                  (self.codes, found.link_ends, found.codes),
+                                  (self.group_ends, found.group_ends, found.group_ends)):
+            upto.append(np.searchsorted(at, part_ends) + 1)
+            lists.add(values, np.diff(upto[-1], prepend=0))
+        text, piece_ends = self._written(first, second, found)
+        stops = piece_ends[upto[0] + upto[1] - 1].tolist()
+        row = len(self.told)
+        self.told += [text[a:b - 1] for a, b in zip([0, *stops], stops, strict=False)]
+        self.known.update(zip(parts, range(row, row + len(parts)), strict=True))
+
+    def _written(self, first: np.ndarray, second: np.ndarray, found: Links) -> tuple[bytes, np.ndarray]:
+        """The ids of each group as text, the first's before the second's, and where each ends."""
+        rows = [number + self.written_at[side][np.append(group[1:] != group[:-1], True).astype(int)]
+                for side, (number, group) in enumerate(
+                    ((first, found.first_group), (second, found.second_group)))]
+        order = np.argsort(np.concatenate((2 * found.first_group, 2 * found.second_group + 1)),
+                           kind="stable")
+        pieces = np.concatenate(rows)[order]
+        text = self.written[pieces].view(np.uint8)
+        return text[text != 0].tobytes(), self.written_length[pieces].cumsum()
+
+    def rows(self, texts: list[str]) -> list[np.ndarray]:
+        """The numbers of each text's parts in the memory.
+
+        Texts are cut where neither vocabulary has a token that runs on: the first splits
+        before such a space, the second has no piece with a space inside. So the ids are
+        those of the text in one go, groups end there, and parts that come again need be
+        neither tokenised nor aligned again.
+        """
+        cut = [CUT.split(t) if self.cuttable else [t] for t in texts]
+        parts = [p for of_text in cut for p in of_text]
+        found = list(map(self.known.get, parts))
+        if None in found:
+            if (self.letters > MOST_LETTERS or len(self.told) > self.most_windows
+                    or len(self.codes) > 16 * self.most_windows):
+                self.forget()
+            self.learn([p for p in dict.fromkeys(parts) if p not in self.known])
+            found = list(map(self.known.__getitem__, parts))
+        return np.split(np.array(found, dtype=np.int64), np.cumsum([len(c) for c in cut])[:-1])
 
     def tokens(self, body: bytes) -> tuple[np.ndarray, np.ndarray] | None:
-        """Both texts' ids, or nothing for a text that either does not give back.
-
-        The whole text is tokenised by both, in parts cut where neither vocabulary has a
-        token that runs on: the first splits before such a space, the second has no piece
-        with a space inside. So the ids are those of the text in one go, and parts that
-        come again need not be tokenised again.
-        """
+        """Both texts' ids, or nothing for a text that either does not give back."""
         try:
             text = body.decode()
         except UnicodeDecodeError:
             return None
         if not text:
             return None
-        parts = CUT.split(text) if self.cuttable else [text]
-        told = list(map(self.first_ids.get, parts))
-        if None in told:
-            self.learn_parts(parts)
-            told = list(map(self.first_ids.__getitem__, parts))
-        first = np.frombuffer(b"".join(told), dtype="<u4")
-        second = np.frombuffer(b"".join(map(self.second_ids.__getitem__, parts)), dtype="<u4")
-        if not self.changed.isdisjoint(parts) and not self.gives_back(first, second, b" " + body):
+        rows = self.rows([text])[0]
+        first, second = (lists.take(rows) for lists in self.ids)
+        if not self.changed.isdisjoint(rows.tolist()) and not self.gives_back(
+                first, second, b" " + body):
             return None
         return first, second
 
-    def text(self, body: bytes):
-        """(n_a, n_b, n_groups, n_links, SHA-256 of the groups, link codes, their counts)."""
+    def texts(self, bodies: list[bytes]) -> list[tuple]:
+        """Of each: (n_a, n_b, n_groups, n_links, SHA-256 of the groups, link codes, their counts)."""
+        made = [NO_TOKENS] * len(bodies)
+        asked, texts = [], []
+        for at, body in enumerate(bodies):
+            with contextlib.suppress(UnicodeDecodeError):
+                if text := body.decode():
+                    texts.append(text)
+                    asked.append(at)
+        if not asked:
+            return made
+        rows = self.rows(texts)
+        every = np.concatenate(rows)
+        sizes = np.array([len(r) for r in rows])
+        counts = [np.add.reduceat(lists.sizes(every), np.cumsum(sizes) - sizes)
+                  for lists in (*self.ids, self.group_ends, self.codes)]
+        links = self.codes.take(every)
+        links += np.repeat(np.arange(len(rows)) * SECOND ** 2, counts[3])
+        codes, times = np.unique(links, return_counts=True)
+        cuts = np.searchsorted(codes, np.arange(len(rows) + 1) * SECOND ** 2).tolist()
+        codes %= SECOND ** 2
+        odd = []
+        for n, (at, numbers) in enumerate(zip(asked, zip(*(c.tolist() for c in counts), strict=True),
+                                              strict=True)):
+            parts = rows[n].tolist()
+            if self.changed and not self.changed.isdisjoint(parts):
+                odd.append(at)
+                continue
+            groups = hashlib.sha256(b";".join(map(self.told.__getitem__, parts))).hexdigest()
+            part = slice(cuts[n], cuts[n + 1])
+            made[at] = (*numbers, groups, codes[part], times[part])
+        for at in odd:
+            made[at] = self._whole(bodies[at])
+        return made
+
+    def _whole(self, body: bytes) -> tuple:
+        """The same of a text with changed parts, which may yet be given back as a whole."""
         both = self.tokens(body)
         if both is None:
-            return 0, 0, 0, 0, "", np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+            return NO_TOKENS
         first, second = both
-        ends = self.first_length[first].cumsum()
-        others = self.second_length[second].cumsum()
-        at = np.searchsorted(others, ends[:-1])
-        shared = (others[at] == ends[:-1]) & self.first_spaced[first[1:]]
-        shared &= self.second_spaced[second[np.minimum(at + 1, len(second) - 1)]]
-        cuts = (4 * np.r_[0, np.flatnonzero(shared) + 1, len(first)]).tolist()
-        other_cuts = (4 * np.r_[0, at[shared] + 1, len(second)]).tolist()
-        told, others_told = first.tobytes(), (second + np.uint32(SECOND)).tobytes()
-        keys = [told[a:b] + others_told[c:d] for a, b, c, d in zip(
-            cuts, cuts[1:], other_cuts, other_cuts[1:], strict=False)]
-        windows = list(map(self.known.get, keys))
-        if None in windows:
-            if len(self.told) > self.most_windows or len(self.codes) > 16 * self.most_windows:
-                self.forget()
-            self.learn([k for k in dict.fromkeys(keys) if k not in self.known])
-            windows = list(map(self.known.__getitem__, keys))
-        groups = hashlib.sha256(";".join(map(self.told.__getitem__, windows)).encode()).hexdigest()
-        n_groups = sum(map(self.groups.__getitem__, windows))
-        rows = np.array(windows)
-        starts = self.link_starts[rows]
-        counts = self.link_starts[rows + 1] - starts
-        upto = counts.cumsum()
-        links = self.codes[np.arange(upto[-1]) + np.repeat(starts - upto + counts, counts)]
-        codes, times = np.unique(links, return_counts=True)
-        return len(first), len(second), n_groups, len(links), groups, codes, times
+        found = align(first, second, self.first_length[first].cumsum(),
+                      self.second_length[second].cumsum())
+        groups = hashlib.sha256(self._written(first, second, found)[0][:-1]).hexdigest()
+        codes, times = np.unique(found.codes, return_counts=True)
+        return (len(first), len(second), len(found.group_ends), len(found.codes), groups, codes, times)
+
+    def text(self, body: bytes) -> tuple:
+        return self.texts([body])[0]
 
 
 PAIRS = "array<struct<code:bigint,n:bigint>>"
@@ -284,7 +356,8 @@ def chunks(docs: DataFrame, first_path: str, second_path: str, chunk_bytes: int
         number = TaskContext.get().partitionId() << 33
         ids: list = []
         rows: list[tuple] = []
-        held = 0
+        waiting: list[bytes] = []
+        held = waits = 0
         kind = None
 
         def handed() -> pa.RecordBatch:
@@ -310,11 +383,17 @@ def chunks(docs: DataFrame, first_path: str, second_path: str, chunk_bytes: int
                                     strict=True):
                 body = body.as_py()
                 ids.append(doc_id)
-                rows.append(aligner.text(body))
+                waiting.append(body)
                 held += len(body)
-                if held >= chunk_bytes or len(rows) >= CHUNK_DOCS:
+                waits += len(body)
+                full = held >= chunk_bytes or len(ids) >= CHUNK_DOCS
+                if full or waits >= TOGETHER_BYTES:
+                    rows += aligner.texts(waiting)
+                    waiting, waits = [], 0
+                if full:
                     yield handed()
                     number, ids, rows, held = number + 1, [], [], 0
+        rows += aligner.texts(waiting)
         if rows:
             yield handed()
 
@@ -335,8 +414,8 @@ def align_tokens(docs: DataFrame, first_path: str | None = None, second_path: st
 
     Null and empty texts, and those that either tokenizer does not give back byte by byte,
     have no tokens: zeros and an empty string. Rows may repeat, a doc_id may be null; only
-    doc_id and text are used. Long texts are tokenised whole; a window without white space
-    is as long as it is. An empty table gives empty results.
+    doc_id and text are used. Long texts are tokenised whole; a part without spaces is as
+    long as it is. An empty table gives empty results.
     """
     told = written(chunks(docs, first_path or tokenizer_path(), second_path or piece_path(),
                           chunk_bytes, most_windows), "chunks")

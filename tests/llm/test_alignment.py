@@ -109,6 +109,27 @@ def test_ids_of_parts_are_those_of_whole_texts(monkeypatch):
             assert aligner.letters <= most_letters + 1000
 
 
+def test_texts_are_learned_together_as_one_by_one(monkeypatch):
+    rng = random.Random(13)
+    words = [f"word{n}" for n in range(300)]
+    bodies = [" ".join(rng.choices(words, k=20)).encode() for _ in range(100)]
+    calls = []
+    monkeypatch.setattr("fieldtally.llm.alignment.align", lambda *a: calls.append(1) or align(*a))
+    together = Aligner(tokenizer_path(), piece_path()).texts(bodies)
+    assert len(calls) == 1
+    # Texts that are not given back stand among others; their neighbours keep their tokens.
+    bodies += [b"", b"\xff", *((t or "").encode() for t in corpus())]
+    together += Aligner(tokenizer_path(), piece_path()).texts(bodies)[100:]
+    assert len(calls) > 2
+    want = plain([b.decode(errors="replace") if b != b"\xff" else None for b in bodies])
+    single = Aligner(tokenizer_path(), piece_path())
+    for body, got, expected in zip(bodies, together, want, strict=True):
+        alone = single.text(body)
+        assert got[:5] == alone[:5] == (*expected[:4], expected[6])
+        assert got[5].tolist() == alone[5].tolist() and got[6].tolist() == alone[6].tolist()
+        assert got[6].sum() == got[3]
+
+
 def test_the_memory_of_windows_is_bounded():
     aligner = Aligner(tokenizer_path(), piece_path(), most_windows=50)
     for n in range(200):
